@@ -1,0 +1,36 @@
+"""The highest number given out for a table that only grows.
+
+Finding it in the table would read a column of the whole history on every load.  It is kept in a
+small append-only table instead and raised before the rows are appended: a load that dies in
+between leaves a gap in the numbers, never a number used twice.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from starward.sources.tables import append_rows, read_table_or_empty
+
+_SCHEMA = T.StructType.fromDDL("high_water bigint")
+
+
+@dataclass(frozen=True)
+class KeyCounter:
+    spark: SparkSession
+    path: str
+
+    def value(self, table: DataFrame, key: str) -> int:
+        """The highest number so far; a table without a counter is scanned once."""
+        marks = read_table_or_empty(self.spark, self.path, _SCHEMA)
+        top = marks.agg(F.max("high_water")).first()[0]
+        if top is None:
+            top = table.agg(F.max(key)).first()[0]
+        return top or 0
+
+    def raise_to(self, number: int) -> None:
+        mark = self.spark.createDataFrame([(number,)], _SCHEMA).coalesce(1)
+        append_rows(mark, self.path)
