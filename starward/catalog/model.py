@@ -3,7 +3,7 @@
 Regions are clinics, suppliers doctors, customers patients, parts procedures, line items visits,
 events doctors' shifts.  ``WITH_MODEL`` says the same in SQL.  Defects are part of the mapping:
 missing names, visits without a doctor, clinic numbers that decode to nothing, shifts of unknown
-doctors.
+doctors.  Doctors are numbered from 1: 0 is the unknown member.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def clinics(t: Tables) -> DataFrame:
 def doctors(t: Tables) -> DataFrame:
     rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return rows.select(
-        F.col("s_suppkey").alias("DoctorID"),
+        (F.col("s_suppkey") + 1).alias("DoctorID"),
         F.when(F.col("s_acctbal") >= 0, "Doctor").alias("FirstName"),
         F.col("s_name").alias("LastName"),
         F.concat(F.lower("s_name"), F.lit("@ward.com")).alias("EmailAddress"),
@@ -91,7 +91,7 @@ def visits(t: Tables) -> DataFrame:
         (F.col("o_orderdate") + F.make_dt_interval(hours=F.col("l_linenumber"))).alias("Date"),
         (F.col("l_linenumber") * 100).alias("Clinic"),
         F.col("o_custkey").alias("Patient"),
-        F.when(F.col("l_returnflag") != "R", F.col("l_suppkey")).alias("Doctor"),
+        F.when(F.col("l_returnflag") != "R", F.col("l_suppkey") + 1).alias("Doctor"),
         F.col("l_partkey").alias("Procedure"),
         F.col("l_extendedprice").cast("decimal(19,4)").alias("Charge"),
     )
@@ -109,7 +109,7 @@ def doctor_shifts(t: Tables) -> DataFrame:
         .otherwise(9)
         .alias("ClinicID"),
         F.when(hour < 8, 1).when(hour < 16, 2).otherwise(3).alias("ShiftID"),
-        F.col("user_id").alias("DoctorID"),
+        (F.col("user_id") + 1).alias("DoctorID"),
     )
 
 
@@ -136,7 +136,7 @@ clinics AS (
     lpad(CAST(r_regionkey AS VARCHAR), 5, '98') AS Zip
   FROM region),
 doctors AS (
-  SELECT s_suppkey AS DoctorID, CASE WHEN s_acctbal >= 0 THEN 'Doctor' END AS FirstName,
+  SELECT s_suppkey + 1 AS DoctorID, CASE WHEN s_acctbal >= 0 THEN 'Doctor' END AS FirstName,
     s_name AS LastName, lower(s_name) || '@ward.com' AS EmailAddress, '  ' || n_name AS City,
     CASE WHEN s_acctbal > 5000 THEN 'WA Redmond' ELSE 'W A' END AS State,
     lpad(CAST(n_nationkey AS VARCHAR), 7, '98') AS Zip
@@ -156,7 +156,7 @@ procedures AS (
 visits AS (
   SELECT l_orderkey AS ID, o_orderdate + to_hours(CAST(l_linenumber AS BIGINT)) AS Date,
     CAST(l_linenumber * 100 AS BIGINT) AS Clinic, o_custkey AS Patient,
-    CASE WHEN l_returnflag <> 'R' THEN l_suppkey END AS Doctor, l_partkey AS Procedure,
+    CASE WHEN l_returnflag <> 'R' THEN l_suppkey + 1 END AS Doctor, l_partkey AS Procedure,
     CAST(l_extendedprice AS DECIMAL(19,4)) AS Charge
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 doctor_shifts AS (
@@ -164,7 +164,7 @@ doctor_shifts AS (
     CAST(CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3
       WHEN 'signup' THEN 4 ELSE 9 END AS BIGINT) AS ClinicID,
     CAST(CASE WHEN hour(ts) < 8 THEN 1 WHEN hour(ts) < 16 THEN 2 ELSE 3 END AS BIGINT) AS ShiftID,
-    user_id AS DoctorID
+    user_id + 1 AS DoctorID
   FROM events),
 shifts AS (
   SELECT * FROM (VALUES (CAST(1 AS BIGINT), '09:00:00', '05:00:00'),

@@ -25,12 +25,12 @@ class Tables:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Types both engines print alike: whole numbers as bigint, money as double, times as text."""
+    """Types both engines print alike: whole numbers and flags as bigint, money as double, times as text."""
 
     def cast(field: T.StructField):
         column = F.col(f"`{field.name}`")
         match field.dataType:
-            case T.ByteType() | T.ShortType() | T.IntegerType():
+            case T.BooleanType() | T.ByteType() | T.ShortType() | T.IntegerType():
                 column = column.cast("bigint")
             case T.DecimalType():
                 column = column.cast("double")

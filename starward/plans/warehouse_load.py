@@ -54,22 +54,24 @@ def stage_sources(
 
 
 def sync_type1(
-    table: SnapshotTable, source: DataFrame, columns: list[str], key: str, **how
+    table: SnapshotTable,
+    source: DataFrame,
+    columns: list[str],
+    key: str,
+    dim: DataFrame | None = None,
+    **how,
 ) -> DataFrame:
     """One type 1 sync, committed.  New keys start above every key the table ever had."""
-    state = scd1_sync(
-        table.read(), source, columns[0], columns, key, start=table.high_water, **how
-    )
+    dim = table.read() if dim is None else dim
+    state = scd1_sync(dim, source, columns[0], columns, key, start=table.high_water, **how)
     return table.commit(state, key=key)
 
 
-def add_unknown_doctor(warehouse: Warehouse) -> DataFrame:
-    """Add the key 0 doctor unless it is there."""
-    table = warehouse.table("dim_doctors")
-    doctors = table.read()
-    if doctors.where("DoctorKey = 0").isEmpty():
-        doctors = table.commit(D.with_unknown_member(doctors, UNKNOWN_DOCTOR), key="DoctorKey")
-    return doctors
+def with_unknown_doctor(doctors: DataFrame) -> DataFrame:
+    """The doctors, with the key 0 member unless it is there already."""
+    if not doctors.where("DoctorKey = 0").isEmpty():
+        return doctors
+    return D.with_unknown_member(doctors, UNKNOWN_DOCTOR, WAREHOUSE["dim_doctors"])
 
 
 def merge_facts(table: SnapshotTable, source: DataFrame, columns: list[str]) -> dict[str, int]:
@@ -106,9 +108,11 @@ def load_warehouse(
                    "ClinicKey", name_column="ClinicName")
 
     def doctors():
-        sync_type1(w.table("dim_doctors"), D.dim_doctors_src(sources["doctors"]), D.DOCTOR,
-                   "DoctorKey", name_column="DoctorFullName", **protected)
-        add_unknown_doctor(w)
+        # The member is there before the sync, which marks it as deleted unless it is protected.
+        table = w.table("dim_doctors")
+        sync_type1(table, D.dim_doctors_src(sources["doctors"]), D.DOCTOR, "DoctorKey",
+                   dim=with_unknown_doctor(table.read()), name_column="DoctorFullName",
+                   **protected)
 
     def patients():
         table = w.table("dim_patients")

@@ -9,8 +9,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "string": T.StringType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+    "money": T.DecimalType(19, 4),
+}
+
+
+def _schema(columns: str) -> T.StructType:
+    """``"name type, name type"``; needs no session, unlike a DDL string."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 def _text(*names: str) -> T.StructType:
@@ -49,9 +61,9 @@ OPERATIONAL = {
     ),
     "visits": _schema(
         "ID bigint, Date timestamp_ntz, Clinic int, Patient bigint, Doctor bigint, "
-        "Procedure bigint, Charge decimal(19,4)"
+        "Procedure bigint, Charge money"
     ),
-    "procedures": _schema("ID bigint, Name string, Desc string, Charge decimal(19,4)"),
+    "procedures": _schema("ID bigint, Name string, Desc string, Charge money"),
     "clinics": _schema(
         "ClinicID int, ClinicName string, Address string, City string, State string, Zip string"
     ),
@@ -81,7 +93,7 @@ WAREHOUSE = {
     "dim_shifts": _schema("ShiftKey bigint, ShiftID int, ShiftStart string, ShiftEnd string"),
     "dim_procedures": _schema(
         "ProcedureKey bigint, ProcedureID bigint, ProcedureName string, ProcedureDesc string, "
-        "ProcedureCharge decimal(19,4)"
+        "ProcedureCharge money"
     ),
     "dim_patients": _schema(
         "PatientKey bigint, PatientID bigint, PatientFullName string, PatientCity string, "
@@ -93,7 +105,7 @@ WAREHOUSE = {
     ),
     "fact_visits": _schema(
         "VisitKey bigint, DateKey bigint, ClinicKey bigint, PatientKey bigint, "
-        "DoctorKey bigint, ProcedureKey bigint, ProcedureVistCharge decimal(19,4)"
+        "DoctorKey bigint, ProcedureKey bigint, ProcedureVistCharge money"
     ),
     "etl_log": _schema(
         "ETLLogID bigint, ETLDateAndTime timestamp_ntz, ETLAction string, ETLLogMessage string"

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from starward.sources.tables import append_rows, read_table_or_empty
 
-_SCHEMA = T.StructType.fromDDL("high_water bigint")
+_SCHEMA = T.StructType([T.StructField("high_water", T.LongType())])
 
 
 @dataclass(frozen=True)

@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starward.sources.scratch import path_exists
+
 COMMIT_SCHEMA = "version bigint, high_water bigint"
 
 
@@ -30,13 +31,11 @@ class SnapshotTable:
 
     def _current(self) -> Row | None:
         """The newest commit: one row, whatever the size of the table."""
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.root}/commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        path = f"{self.root}/commits"
+        if not path_exists(self.spark, path):
             return None
-        return commits.agg(F.max_by(F.struct("version", "high_water"), "version").alias("c")).first().c
+        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
+        return commits.agg(F.max(F.struct("version", "high_water")).alias("newest")).first().newest
 
     @property
     def version(self) -> int:
@@ -70,18 +69,18 @@ class SnapshotTable:
         """
         current = self._current()
         version = (current.version if current else 0) + 1
-        df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema]).write.mode(
-            "overwrite"
-        ).partitionBy(*partition_by).parquet(self._folder(version))
-        written = self.read(version)
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema])
+        seen = Observation()
+        if key is not None:
+            rows = rows.observe(seen, F.max(key).alias("top"))
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._folder(version))
         high_water = current.high_water if current and not restart else 0
         if key is not None:
-            top = written.agg(F.max(key)).first()[0]
-            high_water = max(high_water, top or 0)
+            high_water = max(high_water, seen.get["top"] or 0)
         self.spark.createDataFrame([(version, high_water)], COMMIT_SCHEMA).coalesce(1).write.mode(
             "append"
         ).parquet(f"{self.root}/commits")
-        return written
+        return self.read(version)
 
 
 def commit_snapshot(df: DataFrame, target: SnapshotTable, key: str | None = None) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starward.operators.keys import assign_keys
+from starward.sources.scratch import path_exists
 from starward.sources.snapshots import SnapshotTable
 
 
@@ -19,12 +19,9 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
 
 def read_table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A parquet table that may not have been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def jdbc_options(
@@ -73,4 +70,5 @@ def full_refresh(
     df: DataFrame, target: SnapshotTable, key: str, order_by: Sequence[str], unique: bool = False
 ) -> DataFrame:
     """Replace all rows; keys start again at 1."""
-    return target.commit(assign_keys(df, key, order_by=order_by, start=0, unique=unique), key=key, restart=True)
+    keyed = assign_keys(df, key, order_by=order_by, start=0, unique=unique)
+    return target.commit(keyed, key=key, restart=True)
