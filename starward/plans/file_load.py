@@ -57,16 +57,13 @@ def new_patients(
     All columns count: a known patient with a new address is a new patient.
     """
     arrived = union_distinct(*[patient_rows(f) for f in feeds.values()])
-    loaded = patients.select(*PATIENT_COLUMNS)
-    return _as_text(
-        except_loaded(under_collation(arrived, collation), under_collation(loaded, collation)),
-        collation,
+    fresh = except_loaded(
+        under_collation(arrived, collation),
+        under_collation(patients.select(*PATIENT_COLUMNS), collation),
     )
-
-
-def _as_text(df: DataFrame, collation: str | None) -> DataFrame:
-    """Back to the plain string type."""
-    return df if collation is None else under_collation(df, "UTF8_BINARY")
+    if collation is None:
+        return fresh
+    return fresh.select(*[F.col(f.name).cast(f.dataType) for f in arrived.schema])
 
 
 def new_visits(

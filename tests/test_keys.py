@@ -78,7 +78,8 @@ def test_no_window_over_the_rows(spark):
     df = spark.range(100).select(F.col("id").alias("v"))
     plan = assign_keys(df, "k", ["v"], unique=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SinglePartition") == 1
-    assert "keys=[shiftright(_pos" in plan[plan.index("SinglePartition") :]
+    below = plan[plan.index("SinglePartition") :]
+    assert "HashAggregate(keys=[" in below and "ReadSchema: struct<_pos:bigint>" in below
 
 
 def test_expand_copies_is_exact_for_any_count(spark):
