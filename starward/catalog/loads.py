@@ -254,7 +254,7 @@ def _visit_merge(t):
     src = summed(visits.where(clinic != 700), c("Charge"))
     raised = F.when(clinic == 200, c("Charge") + 1).otherwise(c("Charge"))
     old = summed(visits.where(clinic != 300), raised)
-    return fact_merge(old, src, [*groups, "Charge"])
+    return fact_merge(old, src, [*groups, "Charge"], unique=True)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from starward.catalog import model as M
@@ -16,6 +18,7 @@ from starward.operators.setops import change_set, except_distinct, union_distinc
 from starward.plans import dimensions as D
 from starward.plans.facts import fact_shifts_src, fact_visits_src
 from starward.plans.readback import charges_by_month, star_readback
+from starward.plans.together import results_of
 
 c = F.col
 
@@ -42,22 +45,33 @@ def dim_shifts(t):
     return assign_keys(D.dim_shifts_src(M.shifts(t)), "ShiftKey", ["ShiftID"], unique=True)
 
 
-def visit_facts(t, unknown="drop"):
-    return fact_visits_src(
-        M.visits(t),
-        M.visit_dates(t),
-        dim_clinics(t),
-        dim_patients(t),
-        dim_doctors(t),
-        dim_procedures(t),
-        unknown,
+def keyed_dims(t):
+    """The four dimensions of the visits, numbered side by side."""
+    return results_of(
+        t.spark,
+        {
+            "clinics": partial(dim_clinics, t),
+            "patients": partial(dim_patients, t),
+            "doctors": partial(dim_doctors, t),
+            "procedures": partial(dim_procedures, t),
+        },
     )
 
 
+def visit_facts(t, unknown="drop"):
+    return fact_visits_src(M.visits(t), M.visit_dates(t), **keyed_dims(t), unknown=unknown)
+
+
 def shift_facts(t, unknown="drop"):
-    return fact_shifts_src(
-        M.doctor_shifts(t), M.shift_dates(t), dim_clinics(t), dim_shifts(t), dim_doctors(t), unknown
+    dims = results_of(
+        t.spark,
+        {
+            "clinics": partial(dim_clinics, t),
+            "shifts": partial(dim_shifts, t),
+            "doctors": partial(dim_doctors, t),
+        },
     )
+    return fact_shifts_src(M.doctor_shifts(t), M.shift_dates(t), **dims, unknown=unknown)
 
 
 # --- joins -------------------------------------------------------------------------------------
@@ -210,10 +224,9 @@ STAR_SQL = """
 
 
 def star(t):
-    clinics, doctors = dim_clinics(t), dim_doctors(t)
-    patients, procedures, dates = dim_patients(t), dim_procedures(t), M.visit_dates(t)
-    facts = fact_visits_src(M.visits(t), dates, clinics, patients, doctors, procedures)
-    return star_readback(facts, clinics, dates, doctors, patients, procedures)
+    dims, dates = keyed_dims(t), M.visit_dates(t)
+    facts = fact_visits_src(M.visits(t), dates, **dims)
+    return star_readback(facts, dates=dates, **dims)
 
 
 @query(

@@ -20,9 +20,10 @@ class FactMerge:
 
     counts: DataFrame
     columns: list[str]
+    unique: bool = False
 
     def _rows(self, count: str) -> DataFrame:
-        return expand_copies(self.counts.select(*self.columns, count), count)
+        return expand_copies(self.counts.select(*self.columns, count), count, spread=not self.unique)
 
     @property
     def state(self) -> DataFrame:
@@ -44,10 +45,14 @@ class FactMerge:
             F.coalesce(F.sum(_INS), F.lit(0)).alias("inserted"),
             F.coalesce(F.sum(_DEL), F.lit(0)).alias("deleted"),
         )
-        return expand_copies(watched.select(*self.columns, _STATE), _STATE)
+        return expand_copies(
+            watched.select(*self.columns, _STATE), _STATE, spread=not self.unique
+        )
 
 
-def fact_merge(fact: DataFrame, source: DataFrame, columns: Sequence[str]) -> FactMerge:
+def fact_merge(
+    fact: DataFrame, source: DataFrame, columns: Sequence[str], unique: bool = False
+) -> FactMerge:
     """Match ``fact`` and ``source`` on every column.
 
     A source row without a match is inserted and a fact row without one is deleted; matched rows
@@ -55,6 +60,9 @@ def fact_merge(fact: DataFrame, source: DataFrame, columns: Sequence[str]) -> Fa
 
     Both tables are tagged, combined before the shuffle and grouped by all columns: one shuffle,
     spread by whole-row hash, gives the state and both deltas.
+
+    ``unique`` says that rows hardly ever occur twice, as in a source that was grouped by its
+    keys.  The result is the same; copies are then unfolded where they were counted.
     """
     columns = list(columns)
     tagged = source.select(*columns, F.lit(1).alias(_SRC), F.lit(0).alias(_TGT)).unionByName(
@@ -72,4 +80,5 @@ def fact_merge(fact: DataFrame, source: DataFrame, columns: Sequence[str]) -> Fa
             F.when(matched, zero).otherwise(F.col(_TGT)).alias(_DEL),
         ),
         columns,
+        unique,
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
@@ -13,6 +15,7 @@ from starward.operators.merge import fact_merge
 from starward.operators.sync import scd1_sync
 from starward.plans import dimensions as D
 from starward.plans.facts import SHIFT_FACT, VISIT_FACT, fact_shifts_src, fact_visits_src
+from starward.plans.together import results_of, together
 from starward.schemas import UNKNOWN_DOCTOR, WAREHOUSE
 from starward.sources.generated import date_spine
 from starward.sources.runlog import append_event
@@ -49,7 +52,9 @@ def stage_sources(
     spark: SparkSession, sources: Mapping[str, DataFrame], root: str
 ) -> dict[str, DataFrame]:
     """Copy the six staged sources; the visits stay in place."""
-    copies = {n: stage_table(spark, sources[n], f"{root}/staged/{n}") for n in STAGED}
+    copies = results_of(
+        spark, {n: partial(stage_table, spark, sources[n], f"{root}/staged/{n}") for n in STAGED}
+    )
     return copies | {"visits": sources["visits"]}
 
 
@@ -74,10 +79,12 @@ def with_unknown_doctor(doctors: DataFrame) -> DataFrame:
     return D.with_unknown_member(doctors, UNKNOWN_DOCTOR, WAREHOUSE["dim_doctors"])
 
 
-def merge_facts(table: SnapshotTable, source: DataFrame, columns: list[str]) -> dict[str, int]:
+def merge_facts(
+    table: SnapshotTable, source: DataFrame, columns: list[str], unique: bool = False
+) -> dict[str, int]:
     """Merge and commit; both deltas are counted during the write."""
     seen = Observation()
-    merge = fact_merge(table.read(), source, columns)
+    merge = fact_merge(table.read(), source, columns, unique)
     table.commit(merge.observed_state(seen))
     return seen.get
 
@@ -93,11 +100,13 @@ def load_warehouse(
     reclose: bool = True,
     protect_unknown: bool = False,
 ) -> None:
-    """One run, in the fixed order: dimensions first, because the facts look up their keys.
+    """One run: the dimensions, then the facts, which look up the dimensions' keys.
+
+    Steps of a group do not depend on each other and run together.  Each commits by itself and
+    leaves a row in the log, always in the same order.  A failed step logs its error and leaves
+    its table as it was; the facts are merged only if every dimension succeeded.
 
     ``protect_unknown`` keeps the type 1 sync from marking the unknown doctor as deleted.
-    Each step commits by itself and leaves a row in the log; a failed step logs its error and
-    stops the run, and the tables keep their last committed state.
     """
     w, spark = warehouse, warehouse.spark
     spine = date_spine(spark) if spine is None else spine
@@ -146,25 +155,34 @@ def load_warehouse(
             sources["visits"], w.read("dim_dates"), w.read("dim_clinics"),
             w.read("dim_patients"), w.read("dim_doctors"), w.read("dim_procedures"), unknown,
         )
-        return merge_facts(w.table("fact_visits"), source, VISIT_FACT)
-
-    steps: list[tuple[str, Callable]] = [
-        ("dim_clinics", clinics),
-        ("dim_doctors", doctors),
-        ("dim_patients", patients),
-        ("dim_procedures", procedures),
-        ("dim_shifts", shifts),
-        ("dim_dates", dates),
-        ("fact_doctor_shifts", doctor_shifts),
-        ("fact_visits", visits),
-    ]
-    for name, step in steps:
-        try:
-            counts = step()
-        except Exception as error:
-            append_event(spark, w.log_path, f"sync {name}", str(error), now)
-            raise
-        note = f"{name} synced"
-        if counts:
-            note += f": {counts['inserted']} inserted, {counts['deleted']} deleted"
-        append_event(spark, w.log_path, f"sync {name}", note, now)
+        # The source is grouped by its keys, so no row occurs twice.
+        return merge_facts(w.table("fact_visits"), source, VISIT_FACT, unique=True)
+
+    _run_and_log(
+        w,
+        {
+            "dim_clinics": clinics,
+            "dim_doctors": doctors,
+            "dim_patients": patients,
+            "dim_procedures": procedures,
+            "dim_shifts": shifts,
+            "dim_dates": dates,
+        },
+        now,
+    )
+    _run_and_log(w, {"fact_doctor_shifts": doctor_shifts, "fact_visits": visits}, now)
+
+
+def _run_and_log(w: Warehouse, steps: Mapping[str, Callable[[], Any]], now: datetime) -> None:
+    """Run independent steps together, log each in its order, then raise the first failure."""
+    failure = None
+    for name, result in together(w.spark, steps).items():
+        if isinstance(result, Exception):
+            failure, note = failure or result, str(result)
+        else:
+            note = f"{name} synced"
+            if isinstance(result, dict):
+                note += f": {result['inserted']} inserted, {result['deleted']} deleted"
+        append_event(w.spark, w.log_path, f"sync {name}", note, now)
+    if failure:
+        raise failure

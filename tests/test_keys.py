@@ -84,5 +84,6 @@ def test_no_window_over_the_rows(spark):
 
 def test_expand_copies_is_exact_for_any_count(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 25), ("d", 10), ("e", 11)], "v string, n bigint")
-    got = expand_copies(df, "n", chunk=10).groupBy("v").count().collect()
-    assert {r.v: r["count"] for r in got} == {"b": 1, "c": 25, "d": 10, "e": 11}
+    for spread in (True, False):
+        got = expand_copies(df, "n", spread, chunk=10).groupBy("v").count().collect()
+        assert {r.v: r["count"] for r in got} == {"b": 1, "c": 25, "d": 10, "e": 11}
