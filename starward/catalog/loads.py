@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from starward.catalog import model as M
 from starward.catalog.model import with_model
 from starward.catalog.registry import query
-from starward.catalog.relations import SHIFT_FACTS_SQL, shift_facts, visit_facts
+from starward.catalog.relations import shift_facts, shift_facts_sql, visit_facts
 from starward.operators import quality
 from starward.operators.history import scd2_merge
 from starward.operators.keys import assign_keys
@@ -358,18 +358,14 @@ def _(t):
     )
 
 
-@query("w12_fact_shifts", with_model(SHIFT_FACTS_SQL))
+@query("w12_fact_shifts", with_model(shift_facts_sql()))
 def _(t):
     return shift_facts(t)
 
 
 @query(
     "w12_fact_shifts_member",
-    with_model(
-        SHIFT_FACTS_SQL.replace("JOIN dim_doctors", "LEFT JOIN dim_doctors").replace(
-            "ddr.DoctorKey,", "coalesce(ddr.DoctorKey, 0) AS DoctorKey,"
-        )
-    ),
+    with_model(shift_facts_sql("LEFT JOIN")),
 )
 def _(t):
     return shift_facts(t, "member")
@@ -388,14 +384,11 @@ def _(t):
     with_model(
         _FACT_OUT + "member_facts",
         """member_facts AS (
-  SELECT v.ID AS VisitKey, dd.DateKey, dc.ClinicKey, dp.PatientKey,
-    coalesce(ddr.DoctorKey, 0) AS DoctorKey, dpr.ProcedureKey, sum(dpr.ProcedureCharge) AS ProcedureVistCharge
-  FROM visits v
-  JOIN dim_dates dd ON CAST(v.Date AS DATE) = dd.FullDate
-  JOIN dim_clinics dc ON CASE v.Clinic WHEN 100 THEN 1 WHEN 200 THEN 2 WHEN 300 THEN 3 END = dc.ClinicID
-  JOIN dim_patients dp ON v.Patient = dp.PatientID
-  LEFT JOIN dim_doctors ddr ON v.Doctor = ddr.DoctorID
-  JOIN dim_procedures dpr ON v.Procedure = dpr.ProcedureID
+  SELECT VisitKey, DateKey, ClinicKey, PatientKey, coalesce(DoctorKey, 0) AS DoctorKey, ProcedureKey,
+    sum(ProcedureCharge) AS ProcedureVistCharge
+  FROM coded_visits JOIN dim_dates USING (FullDate) JOIN dim_clinics USING (ClinicID)
+    JOIN dim_procedures USING (ProcedureID) JOIN dim_patients USING (PatientID)
+    LEFT JOIN dim_doctors USING (DoctorID)
   GROUP BY ALL)""",
     ),
 )

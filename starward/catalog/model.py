@@ -190,10 +190,9 @@ procedures_src AS (
   SELECT ID AS ProcedureID, coalesce(Name, 'Check') AS ProcedureName,
     coalesce("Desc", 'Check') AS ProcedureDesc, Charge AS ProcedureCharge FROM procedures),
 shifts_src AS (
-  SELECT ShiftID, CASE ShiftStart WHEN '09:00:00' THEN '09:00:00' WHEN '01:00:00' THEN '13:00:00'
-      WHEN '21:00:00' THEN '21:00:00' ELSE ShiftStart END AS ShiftStart,
-    CASE ShiftEnd WHEN '05:00:00' THEN '17:00:00' WHEN '21:00:00' THEN '21:00:00'
-      WHEN '09:00:00' THEN '09:00:00' END AS ShiftEnd FROM shifts),
+  SELECT ShiftID, CASE WHEN ShiftStart = '01:00:00' THEN '13:00:00' ELSE ShiftStart END AS ShiftStart,
+    map {'05:00:00': '17:00:00', '21:00:00': '21:00:00', '09:00:00': '09:00:00'}[ShiftEnd] AS ShiftEnd
+  FROM shifts),
 dates_src AS (
   SELECT FullDate, strftime(FullDate, '%A, %m-%d-%Y') AS FullDateName,
     CAST(strftime(FullDate, '%Y%m') AS BIGINT) AS MonthID,
@@ -207,17 +206,17 @@ dim_procedures AS (
   SELECT row_number() OVER (ORDER BY ProcedureID) AS ProcedureKey, * FROM procedures_src),
 dim_shifts AS (SELECT row_number() OVER (ORDER BY ShiftID) AS ShiftKey, * FROM shifts_src),
 dim_dates AS (SELECT row_number() OVER (ORDER BY FullDate) AS DateKey, * FROM dates_src),
+coded_visits AS (
+  SELECT ID AS VisitKey, CAST(Date AS DATE) AS FullDate, Clinic // 100 AS ClinicID,
+    Patient AS PatientID, Doctor AS DoctorID, Procedure AS ProcedureID
+  FROM visits WHERE Clinic IN (100, 200, 300)),
 fact_visits AS (
-  SELECT v.ID AS VisitKey, dd.DateKey, dc.ClinicKey, dp.PatientKey, ddr.DoctorKey,
-    dpr.ProcedureKey, sum(dpr.ProcedureCharge) AS ProcedureVistCharge
-  FROM visits v
-  JOIN dim_dates dd ON CAST(v.Date AS DATE) = dd.FullDate
-  JOIN dim_clinics dc ON CASE v.Clinic WHEN 100 THEN 1 WHEN 200 THEN 2 WHEN 300 THEN 3 END = dc.ClinicID
-  JOIN dim_patients dp ON v.Patient = dp.PatientID
-  JOIN dim_doctors ddr ON v.Doctor = ddr.DoctorID
-  JOIN dim_procedures dpr ON v.Procedure = dpr.ProcedureID
-  WHERE dp.IsCurrent = 1
-  GROUP BY v.ID, dd.DateKey, dc.ClinicKey, dp.PatientKey, ddr.DoctorKey, dpr.ProcedureKey)
+  SELECT VisitKey, DateKey, ClinicKey, PatientKey, DoctorKey, ProcedureKey,
+    sum(ProcedureCharge) AS ProcedureVistCharge
+  FROM coded_visits JOIN dim_dates USING (FullDate) JOIN dim_clinics USING (ClinicID)
+    JOIN dim_procedures USING (ProcedureID) JOIN dim_doctors USING (DoctorID)
+    JOIN (SELECT * FROM dim_patients WHERE IsCurrent = 1) USING (PatientID)
+  GROUP BY ALL)
 """
 
 

@@ -98,8 +98,8 @@ def _(t):
 @query(
     "j3_join_on_code",
     with_model(
-        "SELECT ID, Clinic, ClinicKey FROM visits v JOIN dim_clinics d "
-        "ON CASE v.Clinic WHEN 100 THEN 1 WHEN 200 THEN 2 WHEN 300 THEN 3 END = d.ClinicID"
+        "SELECT ID, Clinic, ClinicKey FROM visits JOIN dim_clinics ON Clinic = 100 * ClinicID "
+        "WHERE ClinicID <= 3"
     ),
 )
 def _(t):
@@ -107,22 +107,17 @@ def _(t):
     return lookup_key(rows, dim_clinics(t), codes.clinic_id(c("Clinic")), "ClinicID", ["ClinicKey"])
 
 
-SHIFT_FACTS_SQL = """
-  SELECT s.DoctorsShiftID, dd.DateKey AS ShiftDateKey, dc.ClinicKey, ds.ShiftKey, ddr.DoctorKey,
-    ds.ShiftStart, ds.ShiftEnd,
-    abs(CAST(substring(ds.ShiftEnd, 1, 2) AS BIGINT) - CAST(substring(ds.ShiftStart, 1, 2) AS BIGINT))
-      AS HoursWorked
-  FROM doctor_shifts s
-  JOIN (SELECT CAST(day AS DATE) AS FullDate, row_number() OVER (ORDER BY day) AS DateKey
-        FROM generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY) AS g(day)) dd
-    ON s.ShiftDate = dd.FullDate
-  JOIN dim_clinics dc ON s.ClinicID = dc.ClinicID
-  JOIN dim_shifts ds ON s.ShiftID = ds.ShiftID
-  JOIN dim_doctors ddr ON s.DoctorID = ddr.DoctorID
-"""
+def shift_facts_sql(doctor_join: str = "JOIN") -> str:
+    return f"""
+  SELECT DoctorsShiftID, date_diff('day', DATE '2024-01-01', ShiftDate) + 1 AS ShiftDateKey, ClinicKey,
+    ShiftKey, coalesce(DoctorKey, 0) AS DoctorKey, ShiftStart, ShiftEnd,
+    abs(CAST(ShiftEnd[1:2] AS BIGINT) - CAST(ShiftStart[1:2] AS BIGINT)) AS HoursWorked
+  FROM doctor_shifts JOIN dim_clinics USING (ClinicID) JOIN dim_shifts USING (ShiftID)
+    {doctor_join} dim_doctors USING (DoctorID)
+  WHERE year(ShiftDate) = 2024"""
 
 
-@query("j4_four_way_lookup", with_model(SHIFT_FACTS_SQL))
+@query("j4_four_way_lookup", with_model(shift_facts_sql()))
 def _(t):
     return shift_facts(t)
 
@@ -212,14 +207,9 @@ def _(t):
 
 
 STAR_SQL = """
-  SELECT fv.*, dd.FullDate, dd.FullDateName, dd.MonthID, dd.MonthName, dd.YearID, dd.YearName, dc.ClinicName,
-    ddc.DoctorFullName, dp.PatientFullName, dp.PatientState, dpr.ProcedureName
-  FROM fact_visits fv
-  JOIN dim_clinics dc ON fv.ClinicKey = dc.ClinicKey
-  JOIN dim_dates dd ON fv.DateKey = dd.DateKey
-  JOIN dim_doctors ddc ON fv.DoctorKey = ddc.DoctorKey
-  JOIN dim_patients dp ON fv.PatientKey = dp.PatientKey
-  JOIN dim_procedures dpr ON fv.ProcedureKey = dpr.ProcedureKey
+  SELECT * FROM fact_visits JOIN dim_dates USING (DateKey) JOIN dim_clinics USING (ClinicKey)
+    JOIN dim_procedures USING (ProcedureKey) JOIN dim_doctors USING (DoctorKey)
+    JOIN dim_patients USING (PatientKey)
 """
 
 

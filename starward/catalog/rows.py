@@ -51,7 +51,7 @@ def _(t):
 @query(
     "p4_code_map",
     with_model(
-        "SELECT Clinic, CAST(CASE Clinic WHEN 100 THEN 1 WHEN 200 THEN 2 WHEN 300 THEN 3 END AS BIGINT) "
+        "SELECT Clinic, CAST(CASE WHEN Clinic IN (100, 200, 300) THEN Clinic // 100 END AS BIGINT) "
         "AS ClinicID, count(*) AS n FROM visits GROUP BY ALL"
     ),
 )

@@ -18,6 +18,7 @@ from starward.operators.setops import except_loaded, under_collation, union_dist
 from starward.schemas import CLINIC_WITHOUT_NUMBER, OPERATIONAL, PATIENT_COLUMNS, VISIT_COLUMNS
 from starward.sources.counters import KeyCounter
 from starward.sources.feeds import read_feeds
+from starward.sources.scratch import staged
 from starward.sources.tables import append_rows, read_table_or_empty
 
 #: Physical partition column of the visits table; not part of its rows.
@@ -49,6 +50,18 @@ def visit_rows(feed: DataFrame, clinic: str, day: date | Column) -> DataFrame:
     )
 
 
+def arrived_patients(feeds: Mapping[str, DataFrame], collation: str | None = None) -> DataFrame:
+    """The distinct patients of all feeds."""
+    rows = (under_collation(patient_rows(f), collation) for f in feeds.values())
+    return union_distinct(*rows)
+
+
+def arrived_visits(feeds: Mapping[str, DataFrame], day: date | None = None) -> DataFrame:
+    """The distinct visits of all feeds; without ``day`` a row's day comes from its file's name."""
+    at = F.col("FileDay") if day is None else day
+    return union_distinct(*[visit_rows(f, clinic, at) for clinic, f in feeds.items()])
+
+
 def new_patients(
     feeds: Mapping[str, DataFrame], patients: DataFrame, collation: str | None = None
 ) -> DataFrame:
@@ -56,14 +69,12 @@ def new_patients(
 
     All columns count: a known patient with a new address is a new patient.
     """
-    arrived = union_distinct(*[patient_rows(f) for f in feeds.values()])
-    fresh = except_loaded(
-        under_collation(arrived, collation),
-        under_collation(patients.select(*PATIENT_COLUMNS), collation),
-    )
+    loaded = under_collation(patients.select(*PATIENT_COLUMNS), collation)
+    fresh = except_loaded(arrived_patients(feeds, collation), loaded, distinct=True)
     if collation is None:
         return fresh
-    return fresh.select(*[F.col(f.name).cast(f.dataType) for f in arrived.schema])
+    plain = OPERATIONAL["patients"]
+    return fresh.select(*[F.col(c).cast(plain[c].dataType) for c in PATIENT_COLUMNS])
 
 
 def new_visits(
@@ -72,13 +83,14 @@ def new_visits(
     """Visits of all feeds that are not loaded yet.
 
     Every feed row falls on ``day``, so only that day's loaded rows (and rows without a date) can
-    equal one; the filter reaches the file scan.  Without ``day`` each row's day comes from its
-    file's name.
+    equal one; the filter reaches the file scan.
     """
-    at = F.col("FileDay") if day is None else day
-    arrived = union_distinct(*[visit_rows(f, clinic, at) for clinic, f in feeds.items()])
-    loaded = visits if day is None else _loaded_on(visits, day)
-    return except_loaded(arrived, loaded.select(*VISIT_COLUMNS))
+    return except_loaded(arrived_visits(feeds, day), _history(visits, day), distinct=True)
+
+
+def _history(visits: DataFrame, day: date | None) -> DataFrame:
+    rows = visits if day is None else _loaded_on(visits, day)
+    return rows.select(*VISIT_COLUMNS)
 
 
 def _loaded_on(visits: DataFrame, day: date) -> DataFrame:
@@ -130,8 +142,10 @@ def _numbered(fresh: DataFrame, loaded: DataFrame, counter: KeyCounter) -> DataF
 
 
 def append_patients(spark: SparkSession, feeds: Mapping[str, DataFrame], into: Operational) -> None:
+    """The checked feed is written once: the text is parsed once and its true size is known."""
     loaded = into.patients(spark)
-    fresh = new_patients(feeds, loaded)
+    arrived = staged(arrived_patients(feeds), "patients-arrived")
+    fresh = except_loaded(arrived, loaded.select(*PATIENT_COLUMNS), distinct=True)
     append_rows(_numbered(fresh, loaded, into.counter(spark, "patients")), into.patients_path)
 
 
@@ -143,7 +157,8 @@ def append_visits(
 ) -> None:
     """IDs follow date, then clinic.  One folder per day keeps later comparisons to that day."""
     loaded = into.visits(spark)
-    fresh = new_visits(feeds, loaded, day)
+    arrived = staged(arrived_visits(feeds, day), "visits-arrived")
+    fresh = except_loaded(arrived, _history(loaded, day), distinct=True)
     rows = _numbered(fresh, loaded, into.counter(spark, "visits"))
     append_rows(
         rows.withColumn(VISIT_DAY, F.to_date("Date")), into.visits_path, partition_by=[VISIT_DAY]
