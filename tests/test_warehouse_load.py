@@ -160,7 +160,7 @@ def test_snapshot_survives_a_failed_write(spark, tmp_path):
     assert rows(table.read(version=1)) == [(7, 1, "a", "b")]
 
 
-def facts_of(spark, visits, patients, **how):
+def facts_of(spark, visits, patients, small=lambda df: df, **how):
     s = sources(spark)
     keyed = {
         "clinics": D.dim_clinics_src(s["clinics"]).withColumn("ClinicKey", F.col("ClinicID").cast("bigint")),
@@ -168,7 +168,8 @@ def facts_of(spark, visits, patients, **how):
         "procedures": D.dim_procedures_src(s["procedures"]).withColumn("ProcedureKey", F.col("ProcedureID")),
     }
     dates = D.dim_dates(spark.createDataFrame([(date(2010, 1, 2),)], "FullDate date"))
-    return fact_visits_src(visits, dates, keyed["clinics"], patients, keyed["doctors"], keyed["procedures"], **how)
+    keyed = {name: small(df) for name, df in keyed.items()}
+    return fact_visits_src(visits, small(dates), patients=patients, **keyed, **how)
 
 
 def test_only_the_current_version_counts_and_copies_are_summed(spark):
@@ -240,3 +241,16 @@ def test_null_ids_spread_over_the_partitions(spark, tmp_path):
         assert "_slot" in plan[at : at + 60]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_grouping_uses_the_patient_shuffle(spark, tmp_path):
+    """Patients too large to broadcast cost one shuffle of the visits; the sum costs no second."""
+    visits, patients = hot(spark, tmp_path, 3000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = facts_of(spark, visits, patients, small=F.broadcast)
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 4
+    assert plan.count("Exchange hashpartitioning") == 2
