@@ -82,23 +82,30 @@ def new_visits(
 ) -> DataFrame:
     """Visits of all feeds that are not loaded yet.
 
-    Every feed row falls on ``day``, so only that day's loaded rows (and rows without a date) can
-    equal one; the filter reaches the file scan.
+    Every feed row falls on ``day``, so only that day's loaded rows can equal one; the filter
+    reaches the file scan.
     """
-    return except_loaded(arrived_visits(feeds, day), _history(visits, day), distinct=True)
-
+    loaded = visits if day is None else loaded_between(visits, day, day)
+    return except_loaded(
+        arrived_visits(feeds, day), loaded.select(*VISIT_COLUMNS), distinct=True
+    )
 
-def _history(visits: DataFrame, day: date | None) -> DataFrame:
-    rows = visits if day is None else _loaded_on(visits, day)
-    return rows.select(*VISIT_COLUMNS)
 
+def loaded_between(visits: DataFrame, first: date | None, last: date | None) -> DataFrame:
+    """Loaded visits that may equal a feed row of these days, rows without a date included.
 
-def _loaded_on(visits: DataFrame, day: date) -> DataFrame:
-    begin = F.lit(day).cast("timestamp_ntz")
+    ``None`` for the days means that no feed row has a date.
+    """
     at = F.col("Date")
-    rows = visits.where(at.isNull() | ((at >= begin) & (at < begin + F.expr("INTERVAL 1 DAY"))))
+    if first is None or last is None:
+        rows = visits.where(at.isNull())
+        return rows.where(F.col(VISIT_DAY).isNull()) if VISIT_DAY in visits.columns else rows
+    begin = F.lit(first).cast("timestamp_ntz")
+    end = F.lit(last).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    rows = visits.where(at.isNull() | ((at >= begin) & (at < end)))
     if VISIT_DAY in visits.columns:
-        rows = rows.where(F.col(VISIT_DAY).isNull() | (F.col(VISIT_DAY) == F.lit(day)))
+        day = F.col(VISIT_DAY)
+        rows = rows.where(day.isNull() | day.between(F.lit(first), F.lit(last)))
     return rows
 
 
@@ -155,10 +162,12 @@ def append_visits(
     into: Operational,
     day: date | None = None,
 ) -> None:
-    """IDs follow date, then clinic.  One folder per day keeps later comparisons to that day."""
+    """IDs follow date, then clinic.  One folder per day keeps later comparisons to those days."""
     loaded = into.visits(spark)
     arrived = staged(arrived_visits(feeds, day), "visits-arrived")
-    fresh = except_loaded(arrived, _history(loaded, day), distinct=True)
+    first, last = arrived.agg(F.to_date(F.min("Date")), F.to_date(F.max("Date"))).first()
+    history = loaded_between(loaded, first, last).select(*VISIT_COLUMNS)
+    fresh = except_loaded(arrived, history, distinct=True)
     rows = _numbered(fresh, loaded, into.counter(spark, "visits"))
     append_rows(
         rows.withColumn(VISIT_DAY, F.to_date("Date")), into.visits_path, partition_by=[VISIT_DAY]

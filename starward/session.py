@@ -21,7 +21,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MB = 1024 * 1024
+TARGET_PARTITION_BYTES = 256 * MB
+#: Every map task writes one block per partition.  Beyond this many the blocks of a large shuffle
+#: get too small to fetch well, so partitions grow instead; sorts and aggregates of that size spill.
+MAX_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 100_000
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -31,13 +36,17 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions(shuffled_bytes: int, cores: int, target: int = TARGET_PARTITION_BYTES) -> int:
-    """Partitions that keep one reducer's share near ``target`` and every core busy.
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions of about 256 MB: at least one per core, at most ``MAX_PARTITIONS``.
 
-    100 TB at 256 MB is about 400,000 partitions.  Adaptive execution joins the small ones, so
-    erring upwards is cheap while erring downwards spills.
+    100 TB give 50,000 partitions of 2 GB.  Adaptive execution joins small ones.
     """
-    return max(cores, ceil(shuffled_bytes / target))
+    return max(cores, min(ceil(shuffled_bytes / TARGET_PARTITION_BYTES), MAX_PARTITIONS))
+
+
+def scan_split(scanned_bytes: int) -> int:
+    """Bytes one scan task reads: 128 MB, more where that would mean too many tasks, at most 1 GB."""
+    return min(max(128 * MB, ceil(scanned_bytes / MAX_SCAN_TASKS)), 1024 * MB)
 
 
 def build_session(
@@ -47,13 +56,14 @@ def build_session(
     cores: int = 8,
     **conf: str,
 ) -> SparkSession:
-    """Session for a job; ``shuffled_bytes`` is the largest shuffle expected."""
+    """Session for a job; ``shuffled_bytes`` is about the size of its largest table."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = dict(RUNTIME_CONF)
     if shuffled_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffled_bytes, cores))
+        settings["spark.sql.files.maxPartitionBytes"] = str(scan_split(shuffled_bytes))
     settings.update(conf)
     for name, value in settings.items():
         builder = builder.config(name, value)

@@ -7,6 +7,7 @@ import feeds as files
 from starward.plans.file_load import (
     Operational,
     load_daily_files,
+    loaded_between,
     new_patients,
     new_visits,
     visit_rows,
@@ -90,6 +91,17 @@ def test_loaded_rows_of_the_day_are_pruned_by_partition(spark, folder, tmp_path)
     assert again.isEmpty()
 
 
+def test_days_of_a_batch_bound_the_history(spark):
+    visits = spark.createDataFrame(
+        [(i, at, 100, 1, 1, 1, None) for i, at in enumerate(
+            [datetime(2010, 1, 1, 23), datetime(2010, 1, 2), datetime(2010, 1, 3, 23, 59), None])],
+        OPERATIONAL["visits"],
+    )
+    kept = loaded_between(visits, date(2010, 1, 2), date(2010, 1, 3))
+    assert sorted(r.ID for r in kept.collect()) == [1, 2, 3]
+    assert [r.ID for r in loaded_between(visits, None, None).collect()] == [3]
+
+
 def test_loaded_row_with_null_counts_as_equal(spark):
     patients = spark.createDataFrame(
         [(1, "Ann", "Ames", "a@b.com", None, "K", "WA", 98000)], OPERATIONAL["patients"]

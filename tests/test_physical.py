@@ -9,7 +9,7 @@ from starward.operators.copies import expand_copies
 from starward.operators.merge import fact_merge
 from starward.operators.setops import change_set
 from starward.operators.sync import scd1_sync
-from starward.session import shuffle_partitions
+from starward.session import scan_split, shuffle_partitions
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -117,6 +117,9 @@ def test_without_broadcasts_every_join_is_keyed(spark, name):
         assert bad not in plan
 
 
-def test_shuffle_sizing():
-    assert shuffle_partitions(100 * 10**12, cores=8000) == 372_530
+def test_sizing():
     assert shuffle_partitions(10**6, cores=8) == 8
+    assert shuffle_partitions(10**12, cores=800) == 3726
+    assert shuffle_partitions(100 * 10**12, cores=8000) == 50_000
+    assert scan_split(10**9) == 128 * 2**20
+    assert scan_split(100 * 10**12) == 10**9
