@@ -110,8 +110,11 @@ def loaded_between(visits: DataFrame, first: date | None, last: date | None) ->
 
 
 def visits_in_order(new: DataFrame) -> DataFrame:
-    """The review order of the new visits."""
-    return new.orderBy("Date", "Clinic")
+    """The review order: date, clinic.
+
+    The other columns break ties, so a crowded time slot spreads over several sort partitions.
+    """
+    return new.orderBy("Date", "Clinic", *[c for c in new.columns if c not in ("Date", "Clinic")])
 
 
 @dataclass(frozen=True)

@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot patient or clinic is split even where the split costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Parquet is smaller on disk than in memory; broadcast decisions must count the latter.
+    "spark.sql.sources.fileCompressionFactor": "3.0",
 }
 
 MB = 1024 * 1024
