@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -141,22 +141,34 @@ class Operational:
         return KeyCounter(spark, f"{self.root}/counters/{name}")
 
 
-def _numbered(fresh: DataFrame, loaded: DataFrame, counter: KeyCounter) -> DataFrame:
-    """New rows with their IDs, in the order of their columns; the rows are distinct already."""
+def _append_numbered(
+    fresh: DataFrame, loaded: DataFrame, counter: KeyCounter, append: Callable[[DataFrame], None]
+) -> int:
+    """Give new rows their IDs, in the order of their columns, and append them; returns how many.
+
+    The rows are distinct already, and the numbers are dense, so they also count the rows.
+    """
     start = counter.value(loaded, "ID")
     numbered = assign_keys(fresh, "ID", order_by=fresh.columns, start=start, unique=True)
     top = numbered.agg(F.max("ID")).first()[0]
-    if top is not None:
-        counter.raise_to(top)
-    return numbered
+    if top is None:
+        return 0
+    counter.raise_to(top)
+    append(numbered)
+    return top - start
 
 
-def append_patients(spark: SparkSession, feeds: Mapping[str, DataFrame], into: Operational) -> None:
+def append_patients(spark: SparkSession, feeds: Mapping[str, DataFrame], into: Operational) -> int:
     """The checked feed is written once: the text is parsed once and its true size is known."""
     loaded = into.patients(spark)
     arrived = staged(arrived_patients(feeds), "patients-arrived")
     fresh = except_loaded(arrived, loaded.select(*PATIENT_COLUMNS), distinct=True)
-    append_rows(_numbered(fresh, loaded, into.counter(spark, "patients")), into.patients_path)
+    return _append_numbered(
+        fresh,
+        loaded,
+        into.counter(spark, "patients"),
+        lambda rows: append_rows(rows, into.patients_path),
+    )
 
 
 def append_visits(
@@ -164,25 +176,30 @@ def append_visits(
     feeds: Mapping[str, DataFrame],
     into: Operational,
     day: date | None = None,
-) -> None:
+) -> int:
     """IDs follow date, then clinic.  One folder per day keeps later comparisons to those days."""
     loaded = into.visits(spark)
     arrived = staged(arrived_visits(feeds, day), "visits-arrived")
     first, last = arrived.agg(F.to_date(F.min("Date")), F.to_date(F.max("Date"))).first()
     history = loaded_between(loaded, first, last).select(*VISIT_COLUMNS)
     fresh = except_loaded(arrived, history, distinct=True)
-    rows = _numbered(fresh, loaded, into.counter(spark, "visits"))
-    append_rows(
-        rows.withColumn(VISIT_DAY, F.to_date("Date")), into.visits_path, partition_by=[VISIT_DAY]
-    )
+
+    def append(rows: DataFrame) -> None:
+        dated = rows.withColumn(VISIT_DAY, F.to_date("Date"))
+        append_rows(dated, into.visits_path, partition_by=[VISIT_DAY])
+
+    return _append_numbered(fresh, loaded, into.counter(spark, "visits"), append)
 
 
 def load_daily_files(
     spark: SparkSession, folder: str, into: Operational, day: date | None = None
-) -> None:
-    """One run: read, check, and append patients, then visits.  A second run adds nothing.
+) -> dict[str, int]:
+    """One run: read, check, and append patients, then visits; returns the rows added to each.
 
-    With ``day`` only that day's files are read; without it, all files in the folders.
+    With ``day`` only that day's files are read; without it, all files in the folders.  A second
+    run adds nothing.
     """
-    append_patients(spark, read_feeds(spark, folder, "NewPatients", day), into)
-    append_visits(spark, read_feeds(spark, folder, "Visits", day), into, day)
+    return {
+        "patients": append_patients(spark, read_feeds(spark, folder, "NewPatients", day), into),
+        "visits": append_visits(spark, read_feeds(spark, folder, "Visits", day), into, day),
+    }
