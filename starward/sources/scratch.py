@@ -7,25 +7,23 @@ file size, which is what decides whether a later join may broadcast it.
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local session, where driver and executors are one process, may fall back to a folder
-    of its own.
+    Both are shared on a cluster; a folder of one machine is never taken.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+    if not warehouse:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starward-"))
-    return spark.sparkContext.getCheckpointDir()
+    return f"{warehouse}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = Path("/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.QUERIES, contract.ORACLE_SQL
 JOBS = {"x1_daily_files", "x2_warehouse", "x3_streamed_files"}
 
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
