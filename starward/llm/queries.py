@@ -35,3 +35,17 @@ def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op5_kd_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.sharding import shard_documents
+
+    return shard_documents(table(spark, folder, "documents"))
+
+
+@query
+def op10_length_bucket_packing(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.packing import pack
+
+    return pack(table(spark, folder, "documents"))
