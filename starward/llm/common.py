@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starward.sources.scratch import scratch_path
+
 #: A word is a run of characters other than the six ASCII white-space characters, which are also
 #: those that ``bytes.split()`` splits at.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,7 +26,32 @@ BLOCK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{folder}/{name}.parquet")
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session, ready for this package's Arrow functions: small batches, and the code on every executor."""
+    ship_code(spark)
+    return small_batches(spark)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the executors this library, once for each context, as an archive in the shared scratch folder."""
+    context = spark.sparkContext
+    if getattr(context, "_starward_code", None):
+        return
+    root = Path(__file__).resolve().parent.parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.writestr(str(file.relative_to(root.parent)), file.read_bytes())
+    name = scratch_path(spark, "code") + ".zip"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(name)
+    context._starward_code = name
 
 
 def small_batches(spark: SparkSession) -> SparkSession:

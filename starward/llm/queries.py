@@ -49,3 +49,10 @@ def op10_length_bucket_packing(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.packing import pack
 
     return pack(table(spark, folder, "documents"))
+
+
+@query
+def op3_sentence_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.spans import drop_repeated_spans
+
+    return drop_repeated_spans(table(spark, folder, "documents")).select("doc_id", "text", "n_sentences", "n_removed")

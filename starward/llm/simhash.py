@@ -70,7 +70,8 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
         raise ValueError("the ball of half the radius is written out for a radius of 2")
     flips = F.expr("transform(sequence(0, 63), i -> named_struct('v', fp ^ shiftleft(1L, i), 'm', shiftleft(1L, i)))")
     own = F.expr("array(named_struct('v', fp, 'm', 0L))")
-    emitted = prints.select("fp").distinct().select(F.inline(F.concat(own, flips)))
+    tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each row becomes 65
+    emitted = prints.select("fp").distinct().repartition(tasks, "fp").select(F.inline(F.concat(own, flips)))
     met = (
         emitted.groupBy("v")
         .agg(F.bit_or("m").alias("m"), F.max(F.col("m") == 0).alias("own"))
