@@ -56,3 +56,10 @@ def op3_sentence_span_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.spans import drop_repeated_spans
 
     return drop_repeated_spans(table(spark, folder, "documents")).select("doc_id", "text", "n_sentences", "n_removed")
+
+
+@query
+def op4_ngram_perplexity(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.perplexity import judge
+
+    return judge(table(spark, folder, "documents"))
