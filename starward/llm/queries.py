@@ -63,3 +63,10 @@ def op4_ngram_perplexity(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.perplexity import judge
 
     return judge(table(spark, folder, "documents"))
+
+
+@query
+def op1_bloom_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.language import identify
+
+    return identify(table(spark, folder, "documents"))
