@@ -15,6 +15,7 @@ The stages ``language``, ``near_dedup`` and ``span_dedup`` have no SQL, so neith
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starward.llm.common import prepared
 from starward.llm.language import in_a_language
@@ -42,7 +43,10 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def span_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepared(spark)
-    return remaining(docs)
+    left = remaining(docs)
+    if "n_chars" in left.columns:
+        left = left.withColumn("n_chars", F.char_length("text").cast("bigint"))
+    return left
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

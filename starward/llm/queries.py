@@ -70,3 +70,10 @@ def op1_bloom_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.language import identify
 
     return identify(table(spark, folder, "documents"))
+
+
+@query
+def op6_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.bpe import encode_and_decode
+
+    return encode_and_decode(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
