@@ -17,6 +17,13 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+def oracles() -> dict[str, str]:
+    from starward.llm.packing import pack_sql
+    from starward.llm.urls import judge_sql
+
+    return {"op2_url_association_rules": judge_sql(), "op10_length_bucket_packing": pack_sql()}
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -77,3 +84,20 @@ def op6_distinct_word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.bpe import encode_and_decode
 
     return encode_and_decode(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op7_hash_prefix_forest(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.forest import nearest
+
+    return nearest(table(spark, folder, "embeddings"))
+
+
+@query
+def op2_url_association_rules(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.urls import judge_urls
+
+    return judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
+ORACLE_SQL.update(oracles())
