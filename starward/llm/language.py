@@ -116,7 +116,7 @@ def learn(docs: DataFrame) -> Filters:
     What reaches the driver is the table itself, whose rows are bounded by the stored n-grams, and a row a language.
     """
     counted = staged(counted_trigrams(docs), "trigrams")
-    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    totals = staged(counted.groupBy("lang").agg(F.sum("n").alias("total")), "totals")  # its size decides how it is joined
     weights = {r["lang"]: r["total"] for r in totals.collect()}
     langs = sorted(weights, key=lambda x: (-weights[x], x))
     rates = counted.join(totals, "lang").select("lang", "gram", (F.col("n") / F.col("total")).alias("rate")).where(F.col("rate") >= MIN_RATE)
