@@ -7,14 +7,14 @@ from datetime import date, datetime
 from pyspark.sql import functions as F
 
 from starward.catalog import model as M
-from starward.catalog.loads import ARRIVED_VISITS, VISITS_OUT, patient_feeds, visit_feeds
+from starward.catalog.loads import ARRIVED_VISITS, PATIENTS_ARRIVED, VISITS_OUT, patient_feeds, visit_feeds
 from starward.catalog.model import with_model
 from starward.catalog.registry import query
 from starward.plans import dimensions as D
 from starward.plans.file_load import Operational, load_daily_files
 from starward.plans.warehouse_load import Warehouse, load_warehouse, stage_sources
-from starward.schemas import FEED_SCHEMAS, UNKNOWN_DOCTOR, WAREHOUSE
-from starward.sources.feeds import conform_feed, read_feed, read_feed_by_header
+from starward.schemas import CLINICS, FEED_SCHEMAS, UNKNOWN_DOCTOR, WAREHOUSE
+from starward.sources.feeds import read_feed, read_feed_by_header, read_feeds, rejected_lines
 from starward.sources.generated import date_spine, literal_rows
 from starward.sources.runlog import log_event, log_view
 from starward.sources.scratch import scratch_path
@@ -47,33 +47,84 @@ _FEED_ROWS = (
 )
 
 
+def _written_visits(t) -> str:
+    folder = scratch_path(t.spark, "feeds")
+    write_feeds(visit_feeds(t), folder, "Visits", DAY)
+    return folder
+
+
+def _one_frame(feeds):
+    first, second, third = feeds
+    return first.unionByName(second).unionByName(third)
+
+
+_CLINIC = "CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'O' THEN '2' ELSE '3' END AS Clinic"
+_SENDER = "CASE o_orderstatus WHEN 'F' THEN 'Bellevue' WHEN 'O' THEN 'Kirkland' ELSE 'Redmond' END AS Sender"
+
+
 @query(
     "s1_read_feed",
-    f"SELECT '3' AS Clinic, {_FEED_ROWS}, '2010-01-02' AS FileDay FROM orders WHERE o_orderstatus = 'P'",
+    f"SELECT {_SENDER}, {_CLINIC}, {_FEED_ROWS}, '2010-01-02' AS FileDay FROM orders",
 )
 def _(t):
-    """The clinic with swapped columns, read by its declared layout with a checked header."""
-    folder = scratch_path(t.spark, "feeds")
-    write_feeds(visit_feeds(t), folder, "Visits", DAY)
-    return read_feed(t.spark, folder, "Redmond", "Visits")
+    """Every clinic's file, read by its declared layout with a checked header; one has no clinic number."""
+    folder = _written_visits(t)
+
+    def feed(clinic):
+        rows = read_feed(t.spark, folder, clinic, "Visits")
+        return rows if "Clinic" in rows.columns else rows.withColumn("Clinic", F.lit(None).cast("string"))
+
+    return _one_frame(feed(clinic).withColumn("Sender", F.lit(clinic)) for clinic in CLINICS)
 
 
-@query("s1_read_feed_by_header", f"SELECT '3' AS Clinic, {_FEED_ROWS} FROM orders WHERE o_orderstatus = 'P'")
+@query("s1_read_feed_by_header", f"SELECT {_SENDER}, {_CLINIC}, {_FEED_ROWS} FROM orders")
 def _(t):
-    """The same file bound by its header alone."""
-    folder = scratch_path(t.spark, "feeds")
-    write_feeds(visit_feeds(t), folder, "Visits", DAY)
-    return read_feed_by_header(t.spark, f"{folder}/Redmond/20100102Visits.csv")
+    """The same files bound by their headers alone."""
+    folder = _written_visits(t)
+
+    def feed(clinic):
+        rows = read_feed_by_header(t.spark, f"{folder}/{clinic}/20100102Visits.csv")
+        return rows.withColumn("Sender", F.lit(clinic))
+
+    first, second, third = (feed(clinic) for clinic in CLINICS)
+    return second.unionByName(third).unionByName(first, allowMissingColumns=True)
+
+
+_LINES = (
+    "SELECT CAST(o_custkey AS VARCHAR) AS Patient_, substring(o_orderpriority, 1, 1) AS Doctor_, o_orderkey FROM orders"
+)
 
 
 @query(
-    "s2_conform_feeds",
-    f"SELECT CASE o_orderstatus WHEN 'F' THEN NULL WHEN 'O' THEN '2' ELSE '3' END AS Clinic, {_FEED_ROWS} FROM orders",
+    "s1_rejected_lines",
+    "SELECT 'Kirkland' AS Clinic, 'Visits' AS Kind, '20100102Visits.csv' AS File, "
+    "CASE WHEN o_orderkey % 3 = 0 THEN '9:30,' || Patient_ || ',2,' || Doctor_ || ',1' "
+    "ELSE '9:30,' || Patient_ || ',2,' || Doctor_ || ',1,10.00,more' END AS Line "
+    f"FROM ({_LINES}) WHERE o_orderkey % 3 < 2 "
+    "UNION ALL SELECT 'Kirkland', 'Visits', '20100102Visits.csv', 'fits: ' || CAST(count(*) AS VARCHAR) "
+    f"FROM ({_LINES}) WHERE o_orderkey % 3 = 2",
 )
+def _(t):
+    """A file in which a third of the lines lack a field and a third have one too many; and how many fit."""
+    folder = scratch_path(t.spark, "feeds")
+    head = [F.lit("9:30,"), c("o_custkey").cast("string"), F.lit(",2,"), F.substring("o_orderpriority", 1, 1)]
+    turn = c("o_orderkey") % 3
+    tail = F.when(turn == 0, ",1").when(turn == 1, ",1,10.00,more").otherwise(",1,10.00")
+    lines = t.orders.select(F.concat(*head, tail).alias("Time,Patient,Clinic,Doctor,Procedure,Charge"))
+    # No quoting, and the whole line as one field: the file is as a clinic might send it.
+    target = f"{folder}/Kirkland/{DAY:%Y%m%d}Visits.csv"
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(target)
+    fit = read_feed(t.spark, folder, "Kirkland", "Visits", on_bad_line="skip")
+    counted = fit.agg(F.concat(F.lit("fits: "), F.count("Charge").cast("string")).alias("Line")).select(
+        F.lit("Kirkland").alias("Clinic"), F.lit("Visits").alias("Kind"), F.lit("20100102Visits.csv").alias("File"), "Line"
+    )
+    return rejected_lines(t.spark, folder, "Kirkland", "Visits").unionByName(counted)
+
+
+@query("s2_conform_feeds", f"SELECT {_CLINIC}, {_FEED_ROWS} FROM orders")
 def _(t):
     """Three layouts, one shape."""
-    first, second, third = (conform_feed(f, "Visits") for f in visit_feeds(t).values())
-    return first.unionByName(second).unionByName(third).drop("FileDay")
+    return _one_frame(read_feeds(t.spark, _written_visits(t), "Visits").values()).drop("FileDay")
 
 
 @query("s3_stage_table", "SELECT c_custkey, c_name, c_acctbal FROM customer")
@@ -191,27 +242,42 @@ _LOADED = (
 )
 
 
-@query(
-    "x1_daily_files",
-    f"WITH {ARRIVED_VISITS.format(day=chr(39).join(['TIMESTAMP ', '2010-01-02', '']))} {_LOADED}",
-)
-def _(t):
+def _loaded_twice(t) -> Operational:
     """Both kinds of files of three clinics, loaded twice; the second run adds nothing."""
     spark = t.spark
     folder, into = scratch_path(spark, "feeds"), Operational(scratch_path(spark, "operational"))
     write_feeds(patient_feeds(t), folder, "NewPatients", DAY)
     write_feeds(visit_feeds(t), folder, "Visits", DAY)
     load_daily_files(spark, folder, into, DAY)
-    load_daily_files(spark, folder, into, DAY)
-    return into.visits(spark).drop("VisitDay")
+    again = load_daily_files(spark, folder, into, DAY)
+    assert again == {"patients": 0, "visits": 0}, again
+    return into
 
 
 @query(
-    "x2_warehouse",
-    with_model("SELECT * REPLACE (CAST(ProcedureVistCharge AS DOUBLE) AS ProcedureVistCharge) FROM fact_visits"),
+    "x1_daily_files",
+    f"WITH {ARRIVED_VISITS.format(day=chr(39).join(['TIMESTAMP ', '2010-01-02', '']))} {_LOADED}",
+)
+def _(t):
+    """The visits after the daily load."""
+    return _loaded_twice(t).visits(t.spark).drop("VisitDay")
+
+
+@query(
+    "x1_daily_patients",
+    with_model(
+        "SELECT row_number() OVER (ORDER BY FName NULLS FIRST, LName, Email NULLS FIRST, Address, City, State, "
+        "ZipCode NULLS FIRST) AS ID, * FROM arrived",
+        PATIENTS_ARRIVED,
+    ),
 )
 def _(t):
-    """The whole warehouse from nothing; the result is the visit fact."""
+    """The patients after the daily load."""
+    return _loaded_twice(t).patients(t.spark)
+
+
+def _warehouse(t, table: str):
+    """The whole warehouse from nothing, and one table of it; the calendar holds the visits' and the shifts' days."""
     spark = t.spark
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     sources = {
@@ -225,9 +291,40 @@ def _(t):
     }
     staged = stage_sources(spark, sources, warehouse.root)
     load_warehouse(
-        warehouse, staged, DAY, datetime(2010, 1, 2, 1), days=M.VISIT_DAYS, spine=M.visit_spine(t)
+        warehouse, staged, DAY, datetime(2010, 1, 2, 1), days=M.ALL_DAYS, spine=date_spine(spark, *M.ALL_DAYS)
     )
-    return warehouse.read("fact_visits")
+    return warehouse.read(table)
+
+
+@query(
+    "x2_warehouse",
+    with_model("SELECT * REPLACE (CAST(ProcedureVistCharge AS DOUBLE) AS ProcedureVistCharge) FROM fact_visits"),
+)
+def _(t):
+    """The visit fact of the whole load."""
+    return _warehouse(t, "fact_visits")
+
+
+@query(
+    "x2_shift_fact",
+    with_model(
+        "SELECT DoctorsShiftID, date_diff('day', DATE '1995-01-01', ShiftDate) + 1 AS ShiftDateKey, ClinicKey, ShiftKey, "
+        "DoctorKey, abs(CAST(ShiftEnd[1:2] AS BIGINT) - CAST(ShiftStart[1:2] AS BIGINT)) AS HoursWorked "
+        "FROM doctor_shifts JOIN dim_clinics USING (ClinicID) JOIN dim_shifts USING (ShiftID) JOIN dim_doctors USING (DoctorID)"
+    ),
+)
+def _(t):
+    """The shift fact of the whole load."""
+    return _warehouse(t, "fact_doctor_shifts")
+
+
+@query(
+    "x2_doctors",
+    with_model("SELECT * FROM dim_doctors UNION ALL SELECT 0, 0, 'Unknown (Deleted)', 'Unknown', 'Unknown', 'Unknown', '00000'"),
+)
+def _(t):
+    """The doctors of the whole load, the unknown one marked by the sync."""
+    return _warehouse(t, "dim_doctors")
 
 
 @query(
@@ -236,11 +333,10 @@ def _(t):
     + ARRIVED_VISITS.format(
         day="CASE WHEN o_orderdate < DATE '1998-01-01' THEN TIMESTAMP '2010-01-02' ELSE TIMESTAMP '2010-01-03' END"
     )
-    + VISITS_OUT
-    + " FROM arrived",
+    + _LOADED,
 )
 def _(t):
-    """Files of two days arrive one after the other; each is picked up once."""
+    """Files of two days arrive one after the other; each is picked up once, and numbered as in the batch load."""
     spark = t.spark
     folder, into = scratch_path(spark, "feeds"), Operational(scratch_path(spark, "operational"))
     checkpoints = scratch_path(spark, "streams")
@@ -250,4 +346,4 @@ def _(t):
         feeds = {clinic: feed.where(part) for clinic, feed in visit_feeds(t).items()}
         write_feeds(feeds, folder, "Visits", day)
         load_new_files(spark, folder, into, checkpoints)
-    return into.visits(spark).drop("VisitDay", "ID")
+    return into.visits(spark).drop("VisitDay")

@@ -292,16 +292,17 @@ def _(t):
 
 @query(
     "w6_dim_dates",
-    "SELECT date_diff('day', DATE '1996-01-01', d) + 1 AS DateKey, CAST(d AS VARCHAR) AS FullDate, "
+    "SELECT row_number() OVER (ORDER BY d) AS DateKey, CAST(d AS VARCHAR) AS FullDate, "
     "strftime(d, '%A, %m-%d-%Y') AS FullDateName, CAST(strftime(d, '%Y%m') AS BIGINT) AS MonthID, "
-    "strftime(d, '%B %Y') AS MonthName, year(d) AS YearID, strftime(d, '%Y') AS YearName "
-    "FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) "
-    "WHERE d BETWEEN DATE '1996-01-01' AND DATE '2000-12-31'",
+    "strftime(d, '%B %Y') AS MonthName, year(d) AS YearID, strftime(d, '%Y') AS YearName, count(o_orderkey) AS n_orders "
+    "FROM (SELECT CAST(day AS DATE) AS d FROM generate_series(TIMESTAMP '1996-01-01', TIMESTAMP '2000-12-31', "
+    "INTERVAL 1 DAY) AS g(day)) LEFT JOIN orders ON CAST(o_orderdate AS DATE) = d GROUP BY d",
 )
 def _(t):
-    """The calendar rows of the days on which something was ordered."""
-    days = t.orders.select(F.to_date("o_orderdate").alias("FullDate")).distinct()
-    return D.dim_dates(days, date(1996, 1, 1), date(2000, 12, 31))
+    """Every day of the calendar with its key, and the orders that fall on it."""
+    dates = D.dim_dates(t.spark, date(1996, 1, 1), date(2000, 12, 31))
+    per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("FullDate")).agg(F.count("*").alias("n_orders"))
+    return dates.join(per_day, "FullDate", "left").select(*dates.columns, F.coalesce("n_orders", F.lit(0)).alias("n_orders"))
 
 
 @query("w7_clinics", with_model("SELECT * FROM clinics_src"))
@@ -433,9 +434,11 @@ def patient_feeds(t):
     }
 
 
-_MARKED = f"""
+PATIENTS_ARRIVED = """
   arrived AS (SELECT DISTINCT FName, LName, CASE WHEN instr(Email, '@') = 0 OR instr(Email, '.com') = 0
-      THEN Email || ' (Invalid) ' ELSE Email END AS Email, Address, City, State, ZipCode FROM patients),
+      THEN Email || ' (Invalid) ' ELSE Email END AS Email, Address, City, State, ZipCode FROM patients)
+"""
+_MARKED = f"""{PATIENTS_ARRIVED},
   loaded AS (SELECT {_PATIENT_COLS} FROM arrived WHERE City IN ('NATION_1', 'NATION_2', 'NATION_3')
     UNION ALL SELECT FName, LName, Email, 'moved', City, State, ZipCode FROM arrived WHERE City = 'NATION_4')
 """

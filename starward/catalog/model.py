@@ -22,6 +22,7 @@ SHIFT_ROWS = [(1, "09:00:00", "05:00:00"), (2, "01:00:00", "21:00:00"), (3, "21:
 # The days of the test tables: orders, and the events' month.
 VISIT_DAYS = (date(1995, 1, 1), date(2001, 12, 31))
 SHIFT_DAYS = (date(2024, 1, 1), date(2024, 12, 31))
+ALL_DAYS = (VISIT_DAYS[0], SHIFT_DAYS[1])
 
 
 def clinics(t: Tables) -> DataFrame:
@@ -122,11 +123,11 @@ def visit_spine(t: Tables) -> DataFrame:
 
 
 def visit_dates(t: Tables) -> DataFrame:
-    return D.dim_dates(visit_spine(t), *VISIT_DAYS)
+    return D.dim_dates(t.spark, *VISIT_DAYS)
 
 
 def shift_dates(t: Tables) -> DataFrame:
-    return D.dim_dates(date_spine(t.spark, *SHIFT_DAYS), *SHIFT_DAYS)
+    return D.dim_dates(t.spark, *SHIFT_DAYS)
 
 
 MODEL = """

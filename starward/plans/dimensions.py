@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starward.functions import clock, codes
 from starward.functions.text import cleaned_state, filled, joined, trimmed_city
+from starward.sources.generated import date_spine
 
 # Defaults for missing text, and the calendar range of the warehouse.
 NO_CLINIC_TEXT = "Missing Data"
@@ -103,14 +104,14 @@ def dim_dates_src(
 
 
 def dim_dates(
-    spine: DataFrame, lo: date = WAREHOUSE_DAYS[0], hi: date = WAREHOUSE_DAYS[1]
+    spark: SparkSession, lo: date = WAREHOUSE_DAYS[0], hi: date = WAREHOUSE_DAYS[1]
 ) -> DataFrame:
-    """First fill of the date dimension.
+    """First fill of the date dimension: every day from ``lo`` to ``hi``.
 
-    A spine has no gaps, so a day's rank is its distance from ``lo``: keys need no sort.
+    The calendar is made here and has no gaps, so a day's rank is its distance from ``lo``: keys need no sort.
     """
     key = (F.datediff(F.col("FullDate"), F.lit(lo)) + 1).cast("bigint").alias("DateKey")
-    return dim_dates_src(spine, lo, hi).select(key, *DAY)
+    return dim_dates_src(date_spine(spark, lo, hi), lo, hi).select(key, *DAY)
 
 
 def with_unknown_member(dim: DataFrame, row: Sequence, schema: T.StructType | None = None) -> DataFrame:

@@ -15,7 +15,7 @@ from starward.functions.codes import clinic_number
 from starward.functions.text import marked_email
 from starward.operators.keys import assign_keys
 from starward.operators.setops import except_loaded, under_collation, union_distinct
-from starward.schemas import CLINIC_WITHOUT_NUMBER, OPERATIONAL, PATIENT_COLUMNS, VISIT_COLUMNS
+from starward.schemas import CLINIC_WITHOUT_NUMBER, FEED_SCHEMAS, OPERATIONAL, PATIENT_COLUMNS, VISIT_COLUMNS
 from starward.sources.counters import KeyCounter
 from starward.sources.feeds import read_feeds
 from starward.sources.scratch import staged
@@ -39,7 +39,8 @@ def patient_rows(feed: DataFrame) -> DataFrame:
 def visit_rows(feed: DataFrame, clinic: str, day: date | Column) -> DataFrame:
     """A conformed feed with clinic numbers, full times and the operational types."""
     day = day if isinstance(day, Column) else F.lit(day)
-    number = F.lit(CLINIC_WITHOUT_NUMBER) if clinic == "Bellevue" else clinic_number(F.col("Clinic"))
+    numbered = "Clinic" in FEED_SCHEMAS[(clinic, "Visits")].names
+    number = clinic_number(F.col("Clinic")) if numbered else F.lit(CLINIC_WITHOUT_NUMBER)
     return feed.select(
         visit_time(day, F.col("Time")).alias("Date"),
         number.alias("Clinic"),
@@ -50,10 +51,9 @@ def visit_rows(feed: DataFrame, clinic: str, day: date | Column) -> DataFrame:
     )
 
 
-def arrived_patients(feeds: Mapping[str, DataFrame], collation: str | None = None) -> DataFrame:
+def arrived_patients(feeds: Mapping[str, DataFrame]) -> DataFrame:
     """The distinct patients of all feeds."""
-    rows = (under_collation(patient_rows(f), collation) for f in feeds.values())
-    return union_distinct(*rows)
+    return union_distinct(*map(patient_rows, feeds.values()))
 
 
 def arrived_visits(feeds: Mapping[str, DataFrame], day: date | None = None) -> DataFrame:
@@ -69,10 +69,19 @@ def new_patients(
 
     All columns count: a known patient with a new address is a new patient.
     """
+    return unknown_patients(staged(arrived_patients(feeds), "patients-arrived"), patients, collation)
+
+
+def unknown_patients(arrived: DataFrame, patients: DataFrame, collation: str | None = None) -> DataFrame:
+    """Distinct arrived patients that ``patients`` lacks.
+
+    The comparison looks at ``arrived`` twice, so it should be a written table: the text is then parsed
+    once, and its true size is known.
+    """
     loaded = under_collation(patients.select(*PATIENT_COLUMNS), collation)
-    fresh = except_loaded(arrived_patients(feeds, collation), loaded, distinct=True)
     if collation is None:
-        return fresh
+        return except_loaded(arrived, loaded, distinct=True)
+    fresh = except_loaded(under_collation(arrived, collation).distinct(), loaded, distinct=True)
     plain = OPERATIONAL["patients"]
     return fresh.select(*[F.col(c).cast(plain[c].dataType) for c in PATIENT_COLUMNS])
 
@@ -86,20 +95,13 @@ def new_visits(
     reaches the file scan.
     """
     loaded = visits if day is None else loaded_between(visits, day, day)
-    return except_loaded(
-        arrived_visits(feeds, day), loaded.select(*VISIT_COLUMNS), distinct=True
-    )
-
+    arrived = staged(arrived_visits(feeds, day), "visits-arrived")
+    return except_loaded(arrived, loaded.select(*VISIT_COLUMNS), distinct=True)
 
-def loaded_between(visits: DataFrame, first: date | None, last: date | None) -> DataFrame:
-    """Loaded visits that may equal a feed row of these days, rows without a date included.
 
-    ``None`` for the days means that no feed row has a date.
-    """
+def loaded_between(visits: DataFrame, first: date, last: date) -> DataFrame:
+    """Loaded visits that may equal a feed row of these days, rows without a date included."""
     at = F.col("Date")
-    if first is None or last is None:
-        rows = visits.where(at.isNull())
-        return rows.where(F.col(VISIT_DAY).isNull()) if VISIT_DAY in visits.columns else rows
     begin = F.lit(first).cast("timestamp_ntz")
     end = F.lit(last).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
     rows = visits.where(at.isNull() | ((at >= begin) & (at < end)))
@@ -109,6 +111,16 @@ def loaded_between(visits: DataFrame, first: date | None, last: date | None) ->
     return rows
 
 
+def loaded_on(visits: DataFrame, days: DataFrame) -> DataFrame:
+    """Stored visits of the days in ``days (VisitDay)``, and those without a day.
+
+    Only the days themselves are read, however far apart they lie: the days are a small table, whose
+    values prune the partitions of the visits.
+    """
+    dated = visits.join(days.where(F.col(VISIT_DAY).isNotNull()), VISIT_DAY, "left_semi")
+    return dated.unionByName(visits.where(F.col(VISIT_DAY).isNull()))
+
+
 def visits_in_order(new: DataFrame) -> DataFrame:
     """The review order: date, clinic.
 
@@ -158,30 +170,31 @@ def _append_numbered(
     return top - start
 
 
-def append_patients(spark: SparkSession, feeds: Mapping[str, DataFrame], into: Operational) -> int:
-    """The checked feed is written once: the text is parsed once and its true size is known."""
+def append_patients(
+    spark: SparkSession, arrived: DataFrame, into: Operational, collation: str | None = None
+) -> int:
+    """Append the distinct arrived patients that are not loaded yet; returns how many.
+
+    The checked rows are written once: the text is parsed once and its true size is known.
+    """
     loaded = into.patients(spark)
-    arrived = staged(arrived_patients(feeds), "patients-arrived")
-    fresh = except_loaded(arrived, loaded.select(*PATIENT_COLUMNS), distinct=True)
     return _append_numbered(
-        fresh,
+        unknown_patients(staged(arrived, "patients-arrived"), loaded, collation),
         loaded,
         into.counter(spark, "patients"),
         lambda rows: append_rows(rows, into.patients_path),
     )
 
 
-def append_visits(
-    spark: SparkSession,
-    feeds: Mapping[str, DataFrame],
-    into: Operational,
-    day: date | None = None,
-) -> int:
-    """IDs follow date, then clinic.  One folder per day keeps later comparisons to those days."""
+def append_visits(spark: SparkSession, arrived: DataFrame, into: Operational) -> int:
+    """Append the distinct arrived visits that are not loaded yet; returns how many.
+
+    IDs follow date, then clinic.  One folder per day keeps later comparisons to those days.
+    """
     loaded = into.visits(spark)
-    arrived = staged(arrived_visits(feeds, day), "visits-arrived")
-    first, last = arrived.agg(F.to_date(F.min("Date")), F.to_date(F.max("Date"))).first()
-    history = loaded_between(loaded, first, last).select(*VISIT_COLUMNS)
+    arrived = staged(arrived, "visits-arrived")
+    days = staged(arrived.select(F.to_date("Date").alias(VISIT_DAY)).distinct(), "days")
+    history = loaded_on(loaded, days).select(*VISIT_COLUMNS)
     fresh = except_loaded(arrived, history, distinct=True)
 
     def append(rows: DataFrame) -> None:
@@ -192,14 +205,22 @@ def append_visits(
 
 
 def load_daily_files(
-    spark: SparkSession, folder: str, into: Operational, day: date | None = None
+    spark: SparkSession,
+    folder: str,
+    into: Operational,
+    day: date | None = None,
+    collation: str | None = None,
+    on_bad_line: str = "fail",
 ) -> dict[str, int]:
     """One run: read, check, and append patients, then visits; returns the rows added to each.
 
     With ``day`` only that day's files are read; without it, all files in the folders.  A second
-    run adds nothing.
+    run adds nothing.  ``collation`` says how patients' texts compare, ``on_bad_line`` what a line does that
+    doesn't fit its layout (``sources.feeds.checked``).
     """
+    patients = read_feeds(spark, folder, "NewPatients", day, on_bad_line)
+    visits = read_feeds(spark, folder, "Visits", day, on_bad_line)
     return {
-        "patients": append_patients(spark, read_feeds(spark, folder, "NewPatients", day), into),
-        "visits": append_visits(spark, read_feeds(spark, folder, "Visits", day), into, day),
+        "patients": append_patients(spark, arrived_patients(patients), into, collation),
+        "visits": append_visits(spark, arrived_visits(visits, day), into),
     }

@@ -20,9 +20,28 @@ def feed_path(folder: str, clinic: str, kind: str, day: date | None = None) -> s
     return f"{folder}/{clinic}/{name}"
 
 
+#: Column that holds the text of a line that doesn't fit its layout.
+BAD_LINE = "_bad_line"
 #: Options of the batch and the streaming reader.  ``enforceSchema=false`` checks the header against
-#: the schema; without it Spark binds by position and a swapped column goes unnoticed.
-FEED_OPTIONS = {"header": "true", "enforceSchema": "false"}
+#: the schema; without it Spark binds by position and a swapped column goes unnoticed.  A line with too
+#: few or too many fields keeps its text in ``BAD_LINE`` instead of being bent to the layout; all
+#: fields are parsed even if few are asked for, or such a line would pass.
+FEED_OPTIONS = {
+    "header": "true",
+    "enforceSchema": "false",
+    "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": BAD_LINE,
+    "columnPruning": "false",
+}
+
+
+def feed_schema(clinic: str, kind: str) -> T.StructType:
+    """A clinic's layout, and the place for lines that don't fit it."""
+    return with_bad_line(FEED_SCHEMAS[(clinic, kind)])
+
+
+def with_bad_line(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
 
 
 def file_day() -> Column:
@@ -30,6 +49,44 @@ def file_day() -> Column:
     return F.try_to_date(F.regexp_extract(F.col("_metadata.file_path"), FILE_DAY, 1), "yyyyMMdd")
 
 
+def unfit_line(columns: list[str]) -> Column:
+    """NULL for a line that fits, else its text and first field.
+
+    The first field is there because Spark refuses to read the text of bad lines without any other column.
+    """
+    return F.concat(F.col(BAD_LINE), F.lit(", first field "), F.coalesce(F.col(columns[0]), F.lit("missing")))
+
+
+def checked(rows: DataFrame, columns: list[str], on_bad_line: str = "fail") -> DataFrame:
+    """Rows as parsed -> the layout's columns and ``FileDay``; batch and stream share this.
+
+    ``on_bad_line`` says what a line does that doesn't fit: ``"fail"`` ends the load with the line and its
+    file, ``"skip"`` leaves it to ``rejected_lines``.  A file without a day in its name always ends the load:
+    its rows would have no date.
+    """
+    if on_bad_line not in ("fail", "skip"):
+        raise ValueError(f"on_bad_line is fail or skip, not {on_bad_line}")
+    where = F.col("_metadata.file_path")
+    bad = unfit_line(columns)
+    if on_bad_line == "skip":
+        rows = rows.where(bad.isNull())
+    undated = F.raise_error(F.concat(F.lit("no day in the file name "), where)).cast("date")
+    unfit = F.raise_error(F.concat(F.lit("line doesn't fit its layout in "), where, F.lit(": "), bad)).cast("date")
+    day = F.when(bad.isNotNull(), unfit).otherwise(F.coalesce(file_day(), undated))
+    return rows.select(*columns, day.alias("FileDay")).where(F.col("FileDay").isNotNull())
+
+
+def parsed_feed(
+    spark: SparkSession, folder: str, clinic: str, kind: str, day: date | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """One clinic's files of one kind with ``BAD_LINE``.
+
+    Each clinic and kind gets its own read because one read binds all its files to one layout.
+    """
+    schema = feed_schema(clinic, kind) if schema is None else with_bad_line(schema)
+    return spark.read.schema(schema).options(**FEED_OPTIONS).csv(feed_path(folder, clinic, kind, day))
+
+
 def read_feed(
     spark: SparkSession,
     folder: str,
@@ -37,14 +94,24 @@ def read_feed(
     kind: str,
     day: date | None = None,
     schema: T.StructType | None = None,
+    on_bad_line: str = "fail",
 ) -> DataFrame:
-    """One clinic's files of one kind, plus ``FileDay`` taken from each file's name.
+    """One clinic's files of one kind, plus ``FileDay`` taken from each file's name."""
+    rows = parsed_feed(spark, folder, clinic, kind, day, schema)
+    return checked(rows, (schema or FEED_SCHEMAS[(clinic, kind)]).names, on_bad_line)
 
-    Each clinic and kind gets its own read because one read binds all its files to one layout.
-    """
-    schema = schema or FEED_SCHEMAS[(clinic, kind)]
-    rows = spark.read.schema(schema).options(**FEED_OPTIONS).csv(feed_path(folder, clinic, kind, day))
-    return rows.select(*schema.names, file_day().alias("FileDay"))
+
+def rejected_lines(
+    spark: SparkSession, folder: str, clinic: str, kind: str, day: date | None = None
+) -> DataFrame:
+    """``Clinic, Kind, File, Line``: the lines that don't fit the clinic's layout."""
+    rows = parsed_feed(spark, folder, clinic, kind, day)
+    return rows.where(unfit_line(FEED_SCHEMAS[(clinic, kind)].names).isNotNull()).select(
+        F.lit(clinic).alias("Clinic"),
+        F.lit(kind).alias("Kind"),
+        F.regexp_extract("_metadata.file_path", r"(\d{8}[A-Za-z]+\.csv)", 1).alias("File"),
+        F.col(BAD_LINE).alias("Line"),
+    )
 
 
 def read_feed_by_header(spark: SparkSession, path: str) -> DataFrame:
@@ -66,7 +133,9 @@ def conform_feed(df: DataFrame, kind: str) -> DataFrame:
 
 
 def read_feeds(
-    spark: SparkSession, folder: str, kind: str, day: date | None = None
+    spark: SparkSession, folder: str, kind: str, day: date | None = None, on_bad_line: str = "fail"
 ) -> dict[str, DataFrame]:
     """All clinics' files of one kind, conformed, by clinic."""
-    return {c: conform_feed(read_feed(spark, folder, c, kind, day), kind) for c in CLINICS}
+    return {
+        c: conform_feed(read_feed(spark, folder, c, kind, day, on_bad_line=on_bad_line), kind) for c in CLINICS
+    }

@@ -13,12 +13,12 @@ from starward.sources.tables import append_rows, read_table_or_empty
 
 
 def next_event(log: DataFrame, action: str, message: str, at: datetime) -> DataFrame:
-    """The one row to append: the next number, the time, and the texts cut to their lengths."""
+    """The one row to append: the next number, the time, and the texts whole."""
     return log.agg((F.coalesce(F.max("ETLLogID"), F.lit(0)) + 1).alias("ETLLogID")).select(
         F.col("ETLLogID").cast("bigint"),
         F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz").alias("ETLDateAndTime"),
-        F.lit(action[:100]).alias("ETLAction"),
-        F.lit(message[:2000]).alias("ETLLogMessage"),
+        F.lit(action).alias("ETLAction"),
+        F.lit(message).alias("ETLLogMessage"),
     )
 
 

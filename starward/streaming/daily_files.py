@@ -1,30 +1,53 @@
 """Pick up each new daily file once.
 
-A file stream per clinic and kind remembers which files it has read; every micro-batch runs the
-body of the batch load.  The streams keep no other state: rows that are loaded already are found by
-comparing with the table, so a batch that is repeated after a failure adds nothing.
+A file stream per clinic and kind remembers which files it has read; the three clinics' streams are one
+query, so every micro-batch of a kind runs the body of the batch load once, over all clinics.  The streams
+keep no other state: rows that are loaded already are found by comparing with the table, so a batch that
+is repeated after a failure adds nothing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starward.plans.file_load import Operational, append_patients, append_visits
+from starward.plans.file_load import Operational, append_patients, append_visits, patient_rows, visit_rows
 from starward.schemas import CLINICS, FEED_SCHEMAS, KINDS
-from starward.sources.feeds import FEED_OPTIONS, conform_feed, feed_path, file_day
+from starward.sources.feeds import FEED_OPTIONS, checked, conform_feed, feed_path, feed_schema
 
 
 def stream_feed(
-    spark: SparkSession, folder: str, clinic: str, kind: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    folder: str,
+    clinic: str,
+    kind: str,
+    files_per_batch: int | None = None,
+    on_bad_line: str = "fail",
 ) -> DataFrame:
     """One clinic's files of one kind as a stream; its header must match the declared layout."""
-    schema = FEED_SCHEMAS[(clinic, kind)]
-    reader = spark.readStream.schema(schema).options(**FEED_OPTIONS)
+    reader = spark.readStream.schema(feed_schema(clinic, kind)).options(**FEED_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(feed_path(folder, clinic, kind)).select(
-        *schema.names, file_day().alias("FileDay")
-    )
+    rows = reader.csv(feed_path(folder, clinic, kind))
+    return checked(rows, FEED_SCHEMAS[(clinic, kind)].names, on_bad_line)
+
+
+def stream_rows(
+    spark: SparkSession,
+    folder: str,
+    kind: str,
+    files_per_batch: int | None = None,
+    on_bad_line: str = "fail",
+) -> DataFrame:
+    """All clinics' files of one kind as one stream of operational rows."""
+
+    def rows(clinic: str) -> DataFrame:
+        feed = conform_feed(stream_feed(spark, folder, clinic, kind, files_per_batch, on_bad_line), kind)
+        return patient_rows(feed) if kind == "NewPatients" else visit_rows(feed, clinic, F.col("FileDay"))
+
+    return reduce(DataFrame.unionByName, map(rows, CLINICS))
 
 
 def load_new_files(
@@ -33,30 +56,30 @@ def load_new_files(
     into: Operational,
     checkpoints: str,
     files_per_batch: int | None = None,
+    collation: str | None = None,
+    on_bad_line: str = "fail",
 ) -> None:
     """Load every file that arrived since the last call, then return.
 
-    All patients come before any visits.  The streams run one after the other because a table has
-    one writer.  ``checkpoints`` is a folder that all executors and later runs share.
+    All patients come before any visits, one query after the other.  ``checkpoints`` is a folder that all
+    executors and later runs share.  What one call finds of a kind is numbered together, as in the batch load.
     """
+
+    def body(kind: str):
+        def append(batch: DataFrame, _batch_id: int) -> None:
+            if kind == "NewPatients":
+                append_patients(spark, batch.distinct(), into, collation)
+            else:
+                append_visits(spark, batch.distinct(), into)
+
+        return append
+
     for kind in KINDS:
-        for clinic in CLINICS:
-            _load_stream(spark, folder, into, checkpoints, clinic, kind, files_per_batch)
-
-
-def _load_stream(spark, folder, into, checkpoints, clinic, kind, files_per_batch) -> None:
-    def body(batch: DataFrame, _batch_id: int) -> None:
-        feeds = {clinic: conform_feed(batch, kind)}
-        if kind == "NewPatients":
-            append_patients(spark, feeds, into)
-        else:
-            append_visits(spark, feeds, into)
-
-    query = (
-        stream_feed(spark, folder, clinic, kind, files_per_batch)
-        .writeStream.foreachBatch(body)
-        .option("checkpointLocation", f"{checkpoints}/{clinic}-{kind}")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+        stream = stream_rows(spark, folder, kind, files_per_batch, on_bad_line)
+        query = (
+            stream.writeStream.foreachBatch(body(kind))
+            .option("checkpointLocation", f"{checkpoints}/{kind}")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()

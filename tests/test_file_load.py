@@ -8,13 +8,14 @@ from starward.plans.file_load import (
     Operational,
     load_daily_files,
     loaded_between,
+    loaded_on,
     new_patients,
     new_visits,
     visit_rows,
     visits_in_order,
 )
 from starward.schemas import OPERATIONAL
-from starward.sources.feeds import conform_feed, read_feed, read_feed_by_header, read_feeds
+from starward.sources.feeds import conform_feed, read_feed, read_feed_by_header, read_feeds, rejected_lines
 from starward.sources.tables import jdbc_options
 
 
@@ -99,7 +100,32 @@ def test_days_of_a_batch_bound_the_history(spark):
     )
     kept = loaded_between(visits, date(2010, 1, 2), date(2010, 1, 3))
     assert sorted(r.ID for r in kept.collect()) == [1, 2, 3]
-    assert [r.ID for r in loaded_between(visits, None, None).collect()] == [3]
+    stored = visits.withColumn("VisitDay", F.to_date("Date"))
+    days = spark.createDataFrame([(date(2010, 1, 1),), (date(2010, 1, 3),), (None,)], "VisitDay date")
+    assert sorted(r.ID for r in loaded_on(stored, days).collect()) == [0, 2, 3]
+    assert [r.ID for r in loaded_on(stored, days.where("VisitDay IS NULL")).collect()] == [3]
+
+
+def test_lines_that_do_not_fit_end_the_load_or_are_told(spark, tmp_path):
+    folder = files.write_day(tmp_path / "in")
+    lines = ["9:00,1,2,3,4,5.00", "9:30,1,2,3,4", "10:00,1,2,3,4,5.00,more"]
+    files.write(tmp_path / "in" / "Kirkland" / "20100102Visits.csv", files.VISIT_HEADS["Kirkland"], lines)
+    into = Operational(str(tmp_path / "op"))
+    with pytest.raises(Exception, match="doesn't fit its layout"):
+        load_daily_files(spark, folder, into, files.DAY)
+    with pytest.raises(Exception, match="doesn't fit its layout"):
+        read_feed(spark, folder, "Kirkland", "Visits").select("Time").collect()
+    told = rejected_lines(spark, folder, "Kirkland", "Visits").collect()
+    assert sorted(r.Line for r in told) == sorted(lines[1:]) and {r.File for r in told} == {"20100102Visits.csv"}
+    assert load_daily_files(spark, folder, into, files.DAY, on_bad_line="skip")["visits"] == 50 + 1 + 56
+
+
+def test_a_file_without_a_day_ends_the_load(spark, tmp_path):
+    folder = files.write_day(tmp_path / "in")
+    files.write(tmp_path / "in" / "Redmond" / "latestVisits.csv", files.VISIT_HEADS["Redmond"], ["9:00,3,1,2,3,4.00"])
+    with pytest.raises(Exception, match="no day in the file name"):
+        load_daily_files(spark, folder, Operational(str(tmp_path / "op")))
+    assert load_daily_files(spark, folder, Operational(str(tmp_path / "op2")), files.DAY)["visits"] == 154
 
 
 def test_loaded_row_with_null_counts_as_equal(spark):

@@ -1,5 +1,7 @@
 from datetime import date
 
+import pytest
+
 import feeds as files
 from starward.plans.file_load import Operational
 from starward.streaming.daily_files import load_new_files
@@ -17,3 +19,16 @@ def test_each_file_is_loaded_once_even_when_a_checkpoint_is_lost(spark, tmp_path
     days = {r.VisitDay: r["count"] for r in into.visits(spark).groupBy("VisitDay").count().collect()}
     assert days == {date(2010, 1, 2): 154, date(2010, 1, 3): 154}
     assert into.patients(spark).count() == 6
+
+
+def test_bad_and_undated_input_ends_the_stream(spark, tmp_path):
+    folder = files.write_day(tmp_path / "in")
+    into = Operational(str(tmp_path / "op"))
+    files.write(tmp_path / "in" / "Bellevue" / "20100104Visits.csv", files.VISIT_HEADS["Bellevue"], ["9:00,1,2,3"])
+    with pytest.raises(Exception, match="doesn't fit its layout"):
+        load_new_files(spark, folder, into, str(tmp_path / "cp1"))
+    load_new_files(spark, folder, into, str(tmp_path / "cp2"), on_bad_line="skip")
+    assert into.visits(spark).count() == 154
+    files.write(tmp_path / "in" / "Bellevue" / "newVisits.csv", files.VISIT_HEADS["Bellevue"], ["9:00,1,2,3,4.00"])
+    with pytest.raises(Exception, match="no day in the file name"):
+        load_new_files(spark, folder, into, str(tmp_path / "cp2"), on_bad_line="skip")

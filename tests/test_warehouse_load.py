@@ -167,7 +167,7 @@ def facts_of(spark, visits, patients, small=lambda df: df, **how):
         "doctors": D.dim_doctors_src(s["doctors"]).withColumn("DoctorKey", F.col("DoctorID")),
         "procedures": D.dim_procedures_src(s["procedures"]).withColumn("ProcedureKey", F.col("ProcedureID")),
     }
-    dates = D.dim_dates(spark.createDataFrame([(date(2010, 1, 2),)], "FullDate date"))
+    dates = D.dim_dates(spark, date(2010, 1, 2), date(2010, 1, 2))
     keyed = {name: small(df) for name, df in keyed.items()}
     return fact_visits_src(visits, small(dates), patients=patients, **keyed, **how)
 
