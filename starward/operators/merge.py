@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starward.operators.copies import expand_copies
+from starward.operators.matching import all_equal
 
 _SRC, _TGT, _STATE, _INS, _DEL = "_src", "_tgt", "_state", "_ins", "_del"
 
@@ -38,16 +39,24 @@ class FactMerge:
     def deleted(self) -> DataFrame:
         return self._rows(_DEL)
 
-    def observed_state(self, observation: Observation) -> DataFrame:
-        """``state`` that also counts both deltas while it is being written."""
-        watched = self.counts.observe(
-            observation,
-            F.coalesce(F.sum(_INS), F.lit(0)).alias("inserted"),
-            F.coalesce(F.sum(_DEL), F.lit(0)).alias("deleted"),
-        )
-        return expand_copies(
-            watched.select(*self.columns, _STATE), _STATE, spread=not self.unique
-        )
+    @property
+    def changes(self) -> DataFrame:
+        """One row for each distinct row that comes or goes, with how often; matched rows aren't in it."""
+        return self.counts.where((F.col(_INS) > 0) | (F.col(_DEL) > 0)).select(*self.columns, _INS, _DEL)
+
+
+def applied(fact: DataFrame, changes: DataFrame, columns: Sequence[str], unique: bool = False) -> DataFrame:
+    """``fact`` after written ``changes``: the rows that stay are read in place, without a shuffle if changes are few."""
+    columns = list(columns)
+    gone = changes.where(F.col(_DEL) > 0).select(*columns)
+    stays = fact.alias("t").join(gone.alias("s"), all_equal("t", "s", columns, nulls_match=True), "left_anti")
+    return stays.select(*columns).unionByName(expand_copies(changes.select(*columns, _INS), _INS, spread=not unique))
+
+
+def change_counts(changes: DataFrame) -> dict[str, int]:
+    """Rows that written ``changes`` insert and delete."""
+    sums = changes.agg(F.coalesce(F.sum(_INS), F.lit(0)), F.coalesce(F.sum(_DEL), F.lit(0))).first()
+    return {"inserted": sums[0], "deleted": sums[1]}
 
 
 def fact_merge(

@@ -15,6 +15,17 @@ from starward.sources.scratch import staged
 _CHANGED = "_changed"
 
 
+def scd1_actions(dim: DataFrame, source: DataFrame, natural_id: str, columns: Sequence[str], key: str) -> DataFrame:
+    """The IDs that differ, written once, and whether the source still has them; none if both sides agree."""
+    return staged(
+        change_set(source, dim, columns)
+        .where(F.col(natural_id).isNotNull())
+        .groupBy(natural_id)
+        .agg(F.max(IN_SOURCE).alias(_CHANGED)),
+        f"{key}-actions",
+    )
+
+
 def scd1_sync(
     dim: DataFrame,
     source: DataFrame,
@@ -28,8 +39,9 @@ def scd1_sync(
     start: int | Column | None = None,
     order_by: Sequence[str | Column] | None = None,
     unique: bool = False,
+    actions: DataFrame | None = None,
 ) -> DataFrame:
-    """The dimension after one sync.
+    """The dimension after one sync; ``actions`` are those of ``scd1_actions`` if they are known.
 
     ``columns`` are compared and include the natural ID but not the key.
 
@@ -52,13 +64,8 @@ def scd1_sync(
         raise ValueError("flagging needs a name column")
 
     columns = list(columns)
-    actions = staged(
-        change_set(source, dim, columns)
-        .where(F.col(natural_id).isNotNull())
-        .groupBy(natural_id)
-        .agg(F.max(IN_SOURCE).alias(_CHANGED)),
-        f"{key}-actions",
-    )
+    if actions is None:
+        actions = scd1_actions(dim, source, natural_id, columns, key)
     changed_ids = actions.where(F.col(_CHANGED) == 1).select(natural_id)
 
     marked = dim.join(actions, natural_id, "left")

@@ -8,17 +8,18 @@ from datetime import date, datetime
 from functools import partial
 from typing import Any
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from starward.operators.history import scd2_merge
-from starward.operators.merge import fact_merge
-from starward.operators.sync import scd1_sync
+from starward.operators.merge import applied, change_counts, fact_merge
+from starward.operators.sync import scd1_actions, scd1_sync
 from starward.plans import dimensions as D
 from starward.plans.facts import SHIFT_FACT, VISIT_FACT, fact_shifts_src, fact_visits_src
 from starward.plans.together import results_of, together
 from starward.schemas import UNKNOWN_DOCTOR, WAREHOUSE
 from starward.sources.generated import date_spine
 from starward.sources.runlog import append_event
+from starward.sources.scratch import staged
 from starward.sources.snapshots import SnapshotTable
 from starward.sources.tables import read_table_or_empty, stage_table
 
@@ -66,9 +67,12 @@ def sync_type1(
     dim: DataFrame | None = None,
     **how,
 ) -> DataFrame:
-    """One type 1 sync, committed.  New keys start above every key the table ever had."""
+    """One type 1 sync, committed if anything differs.  New keys start above every key the table ever had."""
     dim = table.read() if dim is None else dim
-    state = scd1_sync(dim, source, columns[0], columns, key, start=table.high_water, **how)
+    actions = scd1_actions(dim, source, columns[0], columns, key)
+    if table.version and actions.isEmpty():
+        return table.read()
+    state = scd1_sync(dim, source, columns[0], columns, key, start=table.high_water, actions=actions, **how)
     return table.commit(state, key=key)
 
 
@@ -82,11 +86,17 @@ def with_unknown_doctor(doctors: DataFrame) -> DataFrame:
 def merge_facts(
     table: SnapshotTable, source: DataFrame, columns: list[str], unique: bool = False
 ) -> dict[str, int]:
-    """Merge and commit; both deltas are counted during the write."""
-    seen = Observation()
-    merge = fact_merge(table.read(), source, columns, unique)
-    table.commit(merge.observed_state(seen))
-    return seen.get
+    """Merge, and commit if anything changed; returns the rows inserted and deleted.
+
+    One shuffle finds the changes, which are written and counted there; the new version is the table less
+    what goes and plus what comes.  Without changes there is no new version.
+    """
+    fact = table.read()
+    changes = staged(fact_merge(fact, source, columns, unique).changes, "fact-changes")
+    counts = change_counts(changes)
+    if any(counts.values()) or table.version == 0:
+        table.commit(applied(fact, changes, columns, unique))
+    return counts
 
 
 def load_warehouse(

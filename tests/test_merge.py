@@ -1,8 +1,7 @@
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import Observation
 
-from starward.operators.merge import fact_merge
+from starward.operators.merge import applied, change_counts, fact_merge
 
 COLS = ["a", "b"]
 
@@ -27,11 +26,11 @@ def test_null_is_deleted_and_inserted_again(spark):
     assert rows(m.state) == rows(m.inserted) == rows(m.deleted) == [(1, None)]
 
 
-def test_observed_counts(spark):
-    m = fact_merge(frame(spark, [(1, 1), (2, 2)]), frame(spark, [(1, 1), (3, 3), (3, 3)]), COLS)
-    seen = Observation()
-    assert len(m.observed_state(seen).collect()) == 3
-    assert seen.get == {"inserted": 2, "deleted": 1}
+def test_changes_and_their_counts(spark):
+    fact = frame(spark, [(1, 1), (2, 2)])
+    m = fact_merge(fact, frame(spark, [(1, 1), (3, 3), (3, 3)]), COLS)
+    assert change_counts(m.changes) == {"inserted": 2, "deleted": 1}
+    assert rows(applied(fact, m.changes, COLS)) == [(1, 1), (3, 3), (3, 3)]
 
 
 def by_hand(fact, source):
@@ -54,3 +53,5 @@ def test_against_brute_force(spark, fact, source):
     state, new, gone = by_hand(fact, source)
     assert (rows(m.state), rows(m.inserted), rows(m.deleted)) == (state, new, gone)
     assert len(new) - len(gone) == len(state) - len(fact)
+    assert change_counts(m.changes) == {"inserted": len(new), "deleted": len(gone)}
+    assert rows(applied(frame(spark, fact), m.changes, COLS, m.unique)) == state

@@ -93,6 +93,13 @@ def test_log_names_every_step_in_order(loaded):
     assert log[7].ETLLogMessage == "fact_visits synced: 2 inserted, 0 deleted"
 
 
+def test_a_second_run_writes_only_what_changed(loaded):
+    before = {n: loaded.table(n).version for n in ("fact_visits", "fact_doctor_shifts", "dim_dates", "dim_clinics", "dim_shifts")}
+    load_warehouse(loaded, stage_sources(loaded.spark, sources(loaded.spark), loaded.root), date(2010, 1, 2), NOW)
+    after = {n: loaded.table(n).version for n in before}
+    assert after == before
+
+
 def test_star_keeps_every_fact(loaded):
     star = star_readback(*[loaded.read(n) for n in (
         "fact_visits", "dim_clinics", "dim_dates", "dim_doctors", "dim_patients", "dim_procedures")])
