@@ -78,3 +78,25 @@ def warehouse_row_violations(name: str, table: DataFrame) -> DataFrame:
     if name == "dim_patients":
         rules["IsCurrent not 0 or 1"] = F.col("IsCurrent").isin(0, 1)
     return row_violations(table, rules, table.columns[:1])
+
+
+# The columns whose values may stand only once; a fact's are all that aren't measures.
+UNIQUE = {
+    "dim_dates": ["DateKey"],
+    "dim_clinics": ["ClinicKey"],
+    "dim_doctors": ["DoctorKey"],
+    "dim_shifts": ["ShiftKey"],
+    "dim_procedures": ["ProcedureKey"],
+    "dim_patients": ["PatientKey"],
+    "fact_doctor_shifts": ["DoctorsShiftID", "ShiftDateKey", "ClinicKey", "ShiftKey", "DoctorKey"],
+    "fact_visits": ["VisitKey", "DateKey", "ClinicKey", "PatientKey", "DoctorKey", "ProcedureKey"],
+}
+
+
+def warehouse_violations(name: str, table: DataFrame) -> DataFrame:
+    """``table, rule, rows``: how many rows of a warehouse table break each of its rules; none if it keeps them."""
+    single = warehouse_row_violations(name, table).groupBy("rule").agg(F.count("*").alias("rows"))
+    keys = UNIQUE[name]
+    repeated = duplicate_keys(table, keys).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).where("rows > 0")
+    twice = repeated.select(F.lit(f"{', '.join(keys)} more than once").alias("rule"), "rows")
+    return single.unionByName(twice).select(F.lit(name).alias("table"), "rule", "rows")

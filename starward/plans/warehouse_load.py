@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starward.operators.history import scd2_merge
 from starward.operators.merge import applied, change_counts, fact_merge
+from starward.operators.quality import warehouse_violations
 from starward.operators.sync import scd1_actions, scd1_sync
 from starward.plans import dimensions as D
 from starward.plans.facts import SHIFT_FACT, VISIT_FACT, fact_shifts_src, fact_visits_src
@@ -49,6 +50,27 @@ class Warehouse:
         return read_table_or_empty(self.spark, self.log_path, WAREHOUSE["etl_log"])
 
 
+class Violation(ValueError):
+    """Rows about to be committed break a rule of their table."""
+
+
+def guard(name: str, on_violation: str, told: dict[str, str]) -> Callable[[DataFrame], None]:
+    """A check for ``SnapshotTable.commit``: ``"block"`` raises, ``"report"`` leaves the text in ``told``."""
+    if on_violation not in ("block", "report"):
+        raise ValueError(f"on_violation is block or report, not {on_violation}")
+
+    def check(written: DataFrame) -> None:
+        found = warehouse_violations(name, written).collect()  # a row a rule
+        if not found:
+            return
+        text = "; ".join(sorted(f"{r['rule']}: {r['rows']} rows" for r in found))
+        if on_violation == "block":
+            raise Violation(f"{name} not committed, {text}")
+        told[name] = text
+
+    return check
+
+
 def stage_sources(
     spark: SparkSession, sources: Mapping[str, DataFrame], root: str
 ) -> dict[str, DataFrame]:
@@ -65,6 +87,7 @@ def sync_type1(
     columns: list[str],
     key: str,
     dim: DataFrame | None = None,
+    check: Callable[[DataFrame], None] | None = None,
     **how,
 ) -> DataFrame:
     """One type 1 sync, committed if anything differs.  New keys start above every key the table ever had."""
@@ -73,7 +96,7 @@ def sync_type1(
     if table.version and actions.isEmpty():
         return table.read()
     state = scd1_sync(dim, source, columns[0], columns, key, start=table.high_water, actions=actions, **how)
-    return table.commit(state, key=key)
+    return table.commit(state, key=key, check=check)
 
 
 def with_unknown_doctor(doctors: DataFrame) -> DataFrame:
@@ -84,7 +107,11 @@ def with_unknown_doctor(doctors: DataFrame) -> DataFrame:
 
 
 def merge_facts(
-    table: SnapshotTable, source: DataFrame, columns: list[str], unique: bool = False
+    table: SnapshotTable,
+    source: DataFrame,
+    columns: list[str],
+    unique: bool = False,
+    check: Callable[[DataFrame], None] | None = None,
 ) -> dict[str, int]:
     """Merge, and commit if anything changed; returns the rows inserted and deleted.
 
@@ -95,7 +122,7 @@ def merge_facts(
     changes = staged(fact_merge(fact, source, columns, unique).changes, "fact-changes")
     counts = change_counts(changes)
     if any(counts.values()) or table.version == 0:
-        table.commit(applied(fact, changes, columns, unique))
+        table.commit(applied(fact, changes, columns, unique), check=check)
     return counts
 
 
@@ -109,6 +136,7 @@ def load_warehouse(
     unknown: str = "drop",
     reclose: bool = True,
     protect_unknown: bool = False,
+    on_violation: str = "block",
 ) -> None:
     """One run: the dimensions, then the facts, which look up the dimensions' keys.
 
@@ -117,21 +145,27 @@ def load_warehouse(
     its table as it was; the facts are merged only if every dimension succeeded.
 
     ``protect_unknown`` keeps the type 1 sync from marking the unknown doctor as deleted.
+
+    What a step has written is checked before it is made current: no missing, too long or unallowed value, no key
+    twice.  With ``on_violation="block"`` a table that breaks a rule stays as it was and its step fails;
+    ``"report"`` commits it and leaves the rules and their numbers of rows in the log.
     """
     w, spark = warehouse, warehouse.spark
+    told: dict[str, str] = {}
+    checks = {name: guard(name, on_violation, told) for name in WAREHOUSE if name != "etl_log"}
     spine = date_spine(spark) if spine is None else spine
     protected = {"protect_keys": (0,)} if protect_unknown else {}
 
     def clinics():
         sync_type1(w.table("dim_clinics"), D.dim_clinics_src(sources["clinics"]), D.CLINIC,
-                   "ClinicKey", name_column="ClinicName")
+                   "ClinicKey", name_column="ClinicName", check=checks["dim_clinics"])
 
     def doctors():
         # The member is there before the sync, which marks it as deleted unless it is protected.
         table = w.table("dim_doctors")
         sync_type1(table, D.dim_doctors_src(sources["doctors"]), D.DOCTOR, "DoctorKey",
                    dim=with_unknown_doctor(table.read()), name_column="DoctorFullName",
-                   **protected)
+                   check=checks["dim_doctors"], **protected)
 
     def patients():
         table = w.table("dim_patients")
@@ -139,26 +173,26 @@ def load_warehouse(
             table.read(), D.dim_patients_src(sources["patients"]), D.PATIENT, "PatientKey",
             as_of, reclose=reclose, start=table.high_water,
         )
-        table.commit(state, key="PatientKey")
+        table.commit(state, key="PatientKey", check=checks["dim_patients"])
 
     def procedures():
         sync_type1(w.table("dim_procedures"), D.dim_procedures_src(sources["procedures"]),
-                   D.PROCEDURE, "ProcedureKey", name_column="ProcedureName")
+                   D.PROCEDURE, "ProcedureKey", name_column="ProcedureName", check=checks["dim_procedures"])
 
     def shifts():
         sync_type1(w.table("dim_shifts"), D.dim_shifts_src(sources["shifts"]), D.SHIFT,
-                   "ShiftKey", on_delete="drop")
+                   "ShiftKey", on_delete="drop", check=checks["dim_shifts"])
 
     def dates():
         sync_type1(w.table("dim_dates"), D.dim_dates_src(spine, *days), D.DAY,
-                   "DateKey", on_delete="drop", unique=True)
+                   "DateKey", on_delete="drop", unique=True, check=checks["dim_dates"])
 
     def doctor_shifts():
         source = fact_shifts_src(
             sources["doctor_shifts"], w.read("dim_dates"), w.read("dim_clinics"),
             w.read("dim_shifts"), w.read("dim_doctors"), unknown,
         )
-        return merge_facts(w.table("fact_doctor_shifts"), source, SHIFT_FACT)
+        return merge_facts(w.table("fact_doctor_shifts"), source, SHIFT_FACT, check=checks["fact_doctor_shifts"])
 
     def visits():
         source = fact_visits_src(
@@ -166,7 +200,7 @@ def load_warehouse(
             w.read("dim_patients"), w.read("dim_doctors"), w.read("dim_procedures"), unknown,
         )
         # The source is grouped by its keys, so no row occurs twice.
-        return merge_facts(w.table("fact_visits"), source, VISIT_FACT, unique=True)
+        return merge_facts(w.table("fact_visits"), source, VISIT_FACT, unique=True, check=checks["fact_visits"])
 
     _run_and_log(
         w,
@@ -179,11 +213,14 @@ def load_warehouse(
             "dim_dates": dates,
         },
         now,
+        told,
     )
-    _run_and_log(w, {"fact_doctor_shifts": doctor_shifts, "fact_visits": visits}, now)
+    _run_and_log(w, {"fact_doctor_shifts": doctor_shifts, "fact_visits": visits}, now, told)
 
 
-def _run_and_log(w: Warehouse, steps: Mapping[str, Callable[[], Any]], now: datetime) -> None:
+def _run_and_log(
+    w: Warehouse, steps: Mapping[str, Callable[[], Any]], now: datetime, told: Mapping[str, str]
+) -> None:
     """Run independent steps together, log each in its order, then raise the first failure."""
     failure = None
     for name, result in together(w.spark, steps).items():
@@ -193,6 +230,8 @@ def _run_and_log(w: Warehouse, steps: Mapping[str, Callable[[], Any]], now: date
             note = f"{name} synced"
             if isinstance(result, dict):
                 note += f": {result['inserted']} inserted, {result['deleted']} deleted"
+            if name in told:
+                note += f"; broken rules: {told[name]}"
         append_event(w.spark, w.log_path, f"sync {name}", note, now)
     if failure:
         raise failure

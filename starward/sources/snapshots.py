@@ -11,7 +11,7 @@ is not used again.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -62,10 +62,12 @@ class SnapshotTable:
         key: str | None = None,
         partition_by: Sequence[str] = (),
         restart: bool = False,
+        check: Callable[[DataFrame], None] | None = None,
     ) -> DataFrame:
         """Write ``df`` as the next version and make it current.
 
-        ``restart`` forgets the old high-water mark, as a key reset does.
+        ``restart`` forgets the old high-water mark, as a key reset does.  ``check`` gets the written rows
+        before they are made current; if it raises, they never are.
         """
         current = self._current()
         version = (current.version if current else 0) + 1
@@ -74,6 +76,8 @@ class SnapshotTable:
         if key is not None:
             rows = rows.observe(seen, F.max(key).alias("top"))
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(self._folder(version))
+        if check is not None:
+            check(self.read(version))
         high_water = current.high_water if current and not restart else 0
         if key is not None:
             high_water = max(high_water, seen.get["top"] or 0)

@@ -100,6 +100,20 @@ def test_a_second_run_writes_only_what_changed(loaded):
     assert after == before
 
 
+def test_broken_rules_block_the_commit_or_are_told(spark, tmp_path):
+    given = sources(spark)
+    given["shifts"] = spark.createDataFrame([(1, "09:00:00", "05:30:00"), (2, "01:00:00", "21:00:00")], given["shifts"].schema)
+    w = Warehouse(spark, str(tmp_path / "w"))
+    staged = stage_sources(spark, given, w.root)
+    with pytest.raises(Exception, match="dim_shifts not committed, ShiftEnd is null: 1 rows"):
+        load_warehouse(w, staged, date(2010, 1, 2), NOW)
+    assert w.table("dim_shifts").version == 0 and w.table("fact_visits").version == 0
+    load_warehouse(w, staged, date(2010, 1, 2), NOW, on_violation="report")
+    assert w.table("dim_shifts").version == 1 and w.table("fact_visits").version == 1
+    notes = [r.ETLLogMessage for r in w.log().where("ETLAction = 'sync dim_shifts'").collect()]
+    assert any("broken rules: ShiftEnd is null: 1 rows" in n for n in notes)
+
+
 def test_star_keeps_every_fact(loaded):
     star = star_readback(*[loaded.read(n) for n in (
         "fact_visits", "dim_clinics", "dim_dates", "dim_doctors", "dim_patients", "dim_procedures")])
