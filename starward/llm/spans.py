@@ -23,6 +23,8 @@ SPAN_WORDS = 12
 LONG_WORDS = 25
 #: A sentence ends after . ! ? and white space, after a full-width stop, and at a line's end; the white space is its own.
 END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)[\x20\x09-\x0D]*")
+#: White space inside a sentence other than single spaces.
+ODD_SPACE = re.compile(rb"[\x09\x0B-\x0D]|  ")
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -42,12 +44,16 @@ def spans(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
     ends = sentences(text)
     digest = xxhash.xxh3_64_intdigest
     starts = [0, *ends[:-1].tolist()]
-    words = [text[s:e].split() for s, e in zip(starts, ends.tolist(), strict=False)]
-    n = np.fromiter(map(len, words), np.int64, len(words))
-    h = np.fromiter((digest(b" ".join(w)) for w in words), np.uint64, len(words))
+    parts = [text[s:e].strip() for s, e in zip(starts, ends.tolist(), strict=False)]
+    if ODD_SPACE.search(text):
+        parts = [b" ".join(p.split()) for p in parts]
+    n = np.fromiter((p.count(b" ") + 1 if p else 0 for p in parts), np.int64, len(parts))
+    h = np.fromiter(map(digest, parts), np.uint64, len(parts))
     run = np.concatenate(([0], np.cumsum(n)))
     first, many, one, two = [], [], [], []
     for k in range(1, min(len(h), SPAN_WORDS) + 1):
+        if k > SPAN_SENTENCES and total.min() >= SPAN_WORDS:
+            break  # no shorter span lacks words
         total = run[k:] - run[:-k]
         if k <= SPAN_SENTENCES:
             taken = total >= (SPAN_WORDS if k == SPAN_SENTENCES else LONG_WORDS)
