@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starward.llm.common import fresh, size_blocks, text_column, texts_of
@@ -16,34 +16,64 @@ from starward.sources.scratch import staged
 
 SHINGLE_WORDS = 3
 SEED = 42
+#: For near copies at a similarity of 0.8: five-word shingles and four lanes of 64 bits, since a text of that
+#: similarity differs in a seventh of its bits, far more than two of 64.
+WIDE_WORDS = 5
+LANES = 4
+#: Each lane has two blocks of so many bits; two texts are compared if any block differs in two bits or fewer.  The
+#: blocks of unrelated texts meet by chance, so tables of over a billion texts want longer ones.
+BLOCK_BITS = 28
+#: Differing bits of all lanes up to which texts are near copies: similarity 0.8 makes 39 of 256 on average, chance 128.
+WIDE_RADIUS = 46
 #: Shingles whose bits are counted in one step.
 _STEP = 1 << 16
 
 
-def fingerprint_of(text: bytes, words: int = SHINGLE_WORDS) -> np.uint64:
-    """SimHash of one text: a bit is set if it is set in over half of the shingles' XXH64 hashes.
+def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
+    """XXH64 of each shingle, repeats included.
 
-    Only A-Z are lower-cased.  Fewer words than a shingle has make one shingle; none give zero.
+    Only A-Z are lower-cased.  Fewer words than a shingle has make one shingle; none give no hash.
     """
     parts = text.lower().split()
-    if not parts:
-        return np.uint64(0)
     joined = b" ".join(parts)
     digest = xxhash.xxh64_intdigest
     if len(parts) <= words:
-        return np.uint64(digest(joined, SEED))
+        return np.array([digest(joined, SEED)] if parts else [], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = len(parts) - words + 1
     spans = zip(starts[:n].tolist(), ends[words - 1 :].tolist(), strict=True)
-    hashes = np.fromiter((digest(joined[s:e], SEED) for s, e in spans), np.uint64, n)
-    counts = np.zeros(64, np.int64)
+    return np.fromiter((digest(joined[s:e], SEED) for s, e in spans), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> np.uint64:
+    """The bits that are set in over half of the hashes."""
+    n, counts = len(hashes), np.zeros(64, np.int64)
     for i in range(0, n, _STEP):
         step = hashes[i : i + _STEP]
         counts += np.unpackbits(step.view(np.uint8)).reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return np.packbits(2 * counts > n).view(np.uint64)[0]
 
 
+def fingerprint_of(text: bytes, words: int = SHINGLE_WORDS) -> np.uint64:
+    """SimHash of one text: a bit is set if it is set in over half of the shingles' hashes; zero without words."""
+    return majority(shingle_hashes(text, words))
+
+
+def lanes_of(text: bytes) -> list[int]:
+    """Several independent SimHashes of one text's longer shingles, as signed numbers."""
+    hashes = shingle_hashes(text, WIDE_WORDS)
+    out = []
+    for lane in range(LANES):
+        mixed = (hashes + np.uint64(lane)) * np.uint64(0x9E3779B97F4A7C15) if lane else hashes.copy()
+        if lane:
+            mixed ^= mixed >> np.uint64(31)
+            mixed *= np.uint64(0xD6E8FEB86659FD93)
+            mixed ^= mixed >> np.uint64(32)
+        out.append(int(majority(mixed).view(np.int64)))
+    return out
+
+
 def fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
     """Fingerprint of a text column as a signed long with the same 64 bits; null counts as empty."""
 
@@ -109,12 +139,67 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     return prints.join(ids, "fp").select("doc_id", shown, "component_id")
 
 
+def lanes(text: Column) -> Column:
+    """The lanes of a text column as an array of longs; null counts as empty."""
+
+    @F.arrow_udf("array<bigint>")
+    def several(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for (block,) in size_blocks((b,) for b in batches):
+            yield pa.array([lanes_of(t) for t in texts_of(block)], pa.list_(pa.int64()))
+
+    return several.asNondeterministic()(text)
+
+
+def wide_links(nodes: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` between near copies among ``nodes (node, l)``, ``l`` being the lanes.
+
+    Every block of a node's lanes is emitted under all values within half of two bits.  Nodes under one value
+    are linked each to the next, in order, so that a value's group is neither gathered nor paired, and every link is
+    verified on all bits.
+    """
+    mask = (1 << BLOCK_BITS) - 1
+    blocks = F.flatten(
+        F.transform("l", lambda x: F.array(x.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(x, BLOCK_BITS).bitwiseAND(F.lit(mask))))
+    )
+    flips = f"concat(array(v), transform(sequence(0, {BLOCK_BITS - 1}), i -> v ^ shiftleft(1L, i)))"
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each row becomes over 200
+    emitted = (
+        nodes.repartition(tasks, "node")
+        .select("node", F.posexplode(blocks).alias("b", "v"))
+        .select("node", "b", F.explode(F.expr(flips)).alias("v"))
+        .select("node", (F.col("b").cast("bigint") * (mask + 1) + F.col("v")).alias("key"))
+    )
+    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
+    pairs = emitted.select(F.col("node").alias("a"), before.alias("b")).where(F.col("b") < F.col("a")).distinct()
+    both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("l").alias("la")), "a").join(
+        nodes.select(F.col("node").alias("b"), F.col("l").alias("lb")), "b"
+    )
+    differing = F.aggregate(F.zip_with("la", "lb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    return both.where(differing <= WIDE_RADIUS).select("a", "b")
+
+
+def near_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, component_id`` of near copies: five-word shingles, similarity 0.8 and more.
+
+    Texts with equal first lanes are one node; ids, nulls and repeated rows are as in ``near_duplicates``.
+    """
+    prints = staged(df.select(text_column(df, doc_id).alias("doc_id"), lanes(text_column(df, text)).alias("l")), "lanes")
+    prints = prints.withColumn("node", F.element_at("l", 1))
+    nodes = staged(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("l").alias("l")), "nodes")
+    roots = connected_components(wide_links(nodes))
+    rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    ids = rooted.join(lowest, "root").select("node", "component_id")
+    return staged(prints.select("doc_id", "node").join(ids, "node").select("doc_id", "component_id"), "groups")
+
+
 def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that carry their component's id, once each; all columns stay.
+    """The rows of ``df`` that carry their group's id, once each; all columns stay.
 
-    Repeated rows of one id leave one of them.  Rows without an id can't be named and stay.
+    Groups are those of ``near_groups``.  Repeated rows of one id leave one of them.  Rows without an id can't be named
+    and stay.
     """
-    found = near_duplicates(df, doc_id, text)
+    found = near_groups(df, doc_id, text)
     lost = found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
     mine = fresh(df, "lost_id")
     kept = df.join(lost.select(F.col("doc_id").alias(mine)).distinct(), text_column(df, doc_id) == F.col(mine), "left_anti")

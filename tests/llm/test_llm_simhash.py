@@ -2,7 +2,7 @@ import xxhash
 from cases import awkward, documents, prose
 
 from starward.llm.components import connected_components
-from starward.llm.simhash import near_duplicates, one_of_each
+from starward.llm.simhash import WIDE_RADIUS, lanes_of, near_duplicates, near_groups, one_of_each
 
 
 def plain_fingerprint(text):
@@ -43,9 +43,53 @@ def test_against_all_pairs(spark):
     assert len({r[2] for r in got}) < len({r[1] for r in got})  # some are linked over a distance
 
 
+def plain_groups(rows):
+    """All pairs of texts: near copies if some block differs in two bits at most and all bits in ``WIDE_RADIUS``."""
+    lanes = [[x % 2**64 for x in lanes_of((r[1] or "").encode())] for r in rows]
+    blocks = [[b for x in ls for b in (x & 0xFFFFFFF, x >> 28 & 0xFFFFFFF)] for ls in lanes]
+    group = list(range(len(rows)))
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            near = any((a ^ b).bit_count() <= 2 for a, b in zip(blocks[i], blocks[j]))
+            if near and sum((a ^ b).bit_count() for a, b in zip(lanes[i], lanes[j])) <= WIDE_RADIUS:
+                group[root(i)] = root(j)
+    first = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            first[root(i)] = min(first.get(root(i), r[0]), r[0])
+    return sorted(((r[0], first.get(root(i))) for i, r in enumerate(rows)), key=repr)
+
+
+def edited():
+    rows = []
+    for k in range(6):
+        words = prose(700 + k, 400).split()
+        rows += [(1000 + 20 * k + i, " ".join(w for n, w in enumerate(words) if not i or n % (90 + 10 * i)), "en") for i in range(6)]
+    return rows
+
+
+def test_groups_against_all_pairs(spark):
+    rows = awkward() + edited()
+    got = sorted((tuple(r) for r in near_groups(documents(spark, rows)).collect()), key=repr)
+    assert got == plain_groups(rows)
+
+
+def test_near_copies_meet_and_others_do_not(spark):
+    rows = edited() + [(2000 + i, prose(900 + i, 60), "en") for i in range(40)]
+    got = {r.doc_id: r.component_id for r in near_groups(documents(spark, rows)).collect()}
+    assert all(got[1000 + 20 * k + i] == 1000 + 20 * k for k in range(6) for i in range(6))
+    assert all(got[2000 + i] == 2000 + i for i in range(40))
+
+
 def test_one_of_each(spark):
-    rows = awkward()
-    want = {c for _, _, c in plain(rows)}
+    rows = awkward() + edited()
+    want = {c for _, c in plain_groups(rows)}
     kept = one_of_each(documents(spark, rows))
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == documents(spark, rows).columns
