@@ -10,6 +10,7 @@ from starward.catalog import model as M
 from starward.catalog.loads import ARRIVED_VISITS, PATIENTS_ARRIVED, VISITS_OUT, patient_feeds, visit_feeds
 from starward.catalog.model import with_model
 from starward.catalog.registry import query
+from starward.operators.reconcile import reconcile
 from starward.plans import dimensions as D
 from starward.plans.file_load import Operational, load_daily_files
 from starward.plans.warehouse_load import Warehouse, load_warehouse, stage_sources
@@ -276,6 +277,31 @@ def _(t):
     return _loaded_twice(t).patients(t.spark)
 
 
+_TWO_DAYS = "CASE WHEN o_orderdate < DATE '1998-01-01' THEN TIMESTAMP '2010-01-02' ELSE TIMESTAMP '2010-01-03' END"
+
+
+@query(
+    "x1_reconcile",
+    "WITH "
+    + ARRIVED_VISITS.format(day=_TWO_DAYS)
+    + "SELECT 'visits' AS table_name, count(*) FILTER (WHERE Date < DATE '2010-01-03') AS rows_before, "
+    "count(*) FILTER (WHERE Date >= DATE '2010-01-03') AS rows_added, count(*) AS rows_after, CAST(1 AS BIGINT) AS balanced FROM arrived",
+)
+def _(t):
+    """Two days loaded one after the other: rows before, reported as added, and after the second."""
+    spark = t.spark
+    folder, into = scratch_path(spark, "feeds"), Operational(scratch_path(spark, "operational"))
+    early = c("FileDay") < F.lit("1998-01-01").cast("date")
+    added = {}
+    write_feeds(patient_feeds(t), folder, "NewPatients", DAY)
+    write_feeds(patient_feeds(t), folder, "NewPatients", date(2010, 1, 3))
+    for day, part in ((DAY, early), (date(2010, 1, 3), ~early)):
+        write_feeds({clinic: feed.where(part) for clinic, feed in visit_feeds(t).items()}, folder, "Visits", day)
+        added[day] = load_daily_files(spark, folder, into, day)["visits"]
+    after = into.visits(spark)
+    return reconcile(after.where(c("ID") <= added[DAY]), after, spark.range(added[date(2010, 1, 3)]), "visits")
+
+
 def _warehouse(t, table: str):
     """The whole warehouse from nothing, and one table of it; the calendar holds the visits' and the shifts' days."""
     spark = t.spark
@@ -330,9 +356,7 @@ def _(t):
 @query(
     "x3_streamed_files",
     "WITH "
-    + ARRIVED_VISITS.format(
-        day="CASE WHEN o_orderdate < DATE '1998-01-01' THEN TIMESTAMP '2010-01-02' ELSE TIMESTAMP '2010-01-03' END"
-    )
+    + ARRIVED_VISITS.format(day=_TWO_DAYS)
     + _LOADED,
 )
 def _(t):
