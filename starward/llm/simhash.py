@@ -94,7 +94,7 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     from it by at most one bit, so a group is two numbers, a mask of flipped bits and whether the
     value itself is a member: its size is fixed (65 at most) and it is gathered by a plain
     aggregate.  Members of a group hang on its smallest, since any two of them are linked.
-    ``radius`` is 2 or 3 (with 3 the groups hold candidates only up to 2 bits, so it is refused).
+    ``radius`` is 2: the variants are those of one bit.
     """
     if radius != 2:
         raise ValueError("the ball of half the radius is written out for a radius of 2")
