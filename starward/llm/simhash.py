@@ -154,8 +154,8 @@ def wide_links(nodes: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` between near copies among ``nodes (node, l)``, ``l`` being the lanes.
 
     Every block of a node's lanes is emitted under all values within half of two bits.  Nodes under one value
-    are linked each to the next, in order, so that a value's group is neither gathered nor paired, and every link is
-    verified on all bits.
+    are linked to the smallest of them, which stands first in their order, so that a value's group is neither gathered nor
+    paired, and every link is verified on all bits.
     """
     mask = (1 << BLOCK_BITS) - 1
     blocks = F.flatten(
@@ -169,8 +169,8 @@ def wide_links(nodes: DataFrame) -> DataFrame:
         .select("node", "b", F.explode(F.expr(flips)).alias("v"))
         .select("node", (F.col("b").cast("bigint") * (mask + 1) + F.col("v")).alias("key"))
     )
-    before = F.lag("node").over(Window.partitionBy("key").orderBy("node"))
-    pairs = emitted.select(F.col("node").alias("a"), before.alias("b")).where(F.col("b") < F.col("a")).distinct()
+    so_far = Window.partitionBy("key").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    pairs = emitted.select(F.col("node").alias("a"), F.min("node").over(so_far).alias("b")).where(F.col("b") < F.col("a")).distinct()
     both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("l").alias("la")), "a").join(
         nodes.select(F.col("node").alias("b"), F.col("l").alias("lb")), "b"
     )
