@@ -21,10 +21,13 @@ SEED = 42
 WIDE_WORDS = 5
 LANES = 4
 #: Each lane has two blocks of so many bits; two texts are compared if any block differs in two bits or fewer.  The
-#: blocks of unrelated texts meet by chance, so tables of over a billion texts want longer ones.
+#: blocks of unrelated texts meet by chance, about n * 29 / 2^28 to a value (1.3 for 12 million texts), which costs
+#: comparisons but no pairs.
 BLOCK_BITS = 28
 #: Differing bits of all lanes up to which texts are near copies: similarity 0.8 makes 39 of 256 on average, chance 128.
 WIDE_RADIUS = 46
+#: Nodes under one block value up to which all pairs are compared.
+PAIRED_NODES = 8
 #: Shingles whose bits are counted in one step.
 _STEP = 1 << 16
 
@@ -153,9 +156,10 @@ def lanes(text: Column) -> Column:
 def wide_links(nodes: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` between near copies among ``nodes (node, l)``, ``l`` being the lanes.
 
-    Every block of a node's lanes is emitted under all values within half of two bits.  Nodes under one value
-    are linked to the smallest of them, which stands first in their order, so that a value's group is neither gathered nor
-    paired, and every link is verified on all bits.
+    Every block of a node's lanes is emitted under all values within half of two bits.  Under a value with few nodes
+    all pairs are compared.  Under one with many they are compared with the smallest; those that are no near copies of it
+    go on among themselves, round by round, until none is left, so an unrelated node parts nobody.  Every link is verified
+    on all bits.
     """
     mask = (1 << BLOCK_BITS) - 1
     blocks = F.flatten(
@@ -163,14 +167,33 @@ def wide_links(nodes: DataFrame) -> DataFrame:
     )
     flips = f"concat(array(v), transform(sequence(0, {BLOCK_BITS - 1}), i -> v ^ shiftleft(1L, i)))"
     tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each row becomes over 200
-    emitted = (
+    left = (
         nodes.repartition(tasks, "node")
         .select("node", F.posexplode(blocks).alias("b", "v"))
         .select("node", "b", F.explode(F.expr(flips)).alias("v"))
         .select("node", (F.col("b").cast("bigint") * (mask + 1) + F.col("v")).alias("key"))
     )
-    so_far = Window.partitionBy("key").orderBy("node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pairs = emitted.select(F.col("node").alias("a"), F.min("node").over(so_far).alias("b")).where(F.col("b") < F.col("a")).distinct()
+    ordered = Window.partitionBy("key").orderBy("node")
+    others = F.collect_list("node").over(ordered.rowsBetween(-PAIRED_NODES, -1))
+    ahead = F.lead("node", PAIRED_NODES).over(ordered)
+    smallest = F.first("node").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    crowded = F.max("ahead").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).isNotNull()
+    found = None
+    while True:
+        ranked = left.withColumns({"ahead": ahead, "b": smallest, "others": others}).withColumn("crowded", crowded)
+        met = staged(
+            ranked.where("b < node").select("key", "node", "crowded", F.when(F.col("crowded"), F.array("b")).otherwise(F.col("others")).alias("b")), "met"
+        )
+        pairs = met.select(F.col("node").alias("a"), F.explode("b").alias("b")).distinct()
+        near = staged(_verified(pairs, nodes), "links")
+        found = near if found is None else found.unionByName(near)
+        star = met.where("crowded").select("key", "node", F.element_at("b", 1).alias("b"))
+        left = staged(star.join(near.withColumnRenamed("a", "node"), ["node", "b"], "left_anti").select("key", "node"), "left")
+        if left.isEmpty():
+            return found.distinct()
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("l").alias("la")), "a").join(
         nodes.select(F.col("node").alias("b"), F.col("l").alias("lb")), "b"
     )

@@ -2,7 +2,7 @@ import xxhash
 from cases import awkward, documents, prose
 
 from starward.llm.components import connected_components
-from starward.llm.simhash import WIDE_RADIUS, lanes_of, near_duplicates, near_groups, one_of_each
+from starward.llm.simhash import WIDE_RADIUS, lanes_of, near_duplicates, near_groups, one_of_each, wide_links
 
 
 def plain_fingerprint(text):
@@ -107,3 +107,26 @@ def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a bigint, b bigint")
     got = {r.node: r.root for r in connected_components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
+
+
+def test_unrelated_smaller_nodes_part_no_pair(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def lanes(block):
+        rest = [rng.getrandbits(64) for _ in range(4)]
+        return [(rest[0] & ~0xFFFFFFF) | block, *rest[1:]]
+
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    def copy(ls):  # one bit of the first block, and three of every other
+        rest = [x ^ 0b111 << 3 ^ 0b111 << 40 for x in ls]
+        return [(rest[0] & ~0xFFFFFFF) | (ls[0] & 0xFFFFFFF ^ 1), *rest[1:]]
+
+    for unrelated in (1, 5, 30):
+        pair = lanes(0xABCDEF)
+        rows = [(k, lanes(0xABCDEF)) for k in range(unrelated)] + [(500, pair), (501, copy(pair))]
+        df = spark.createDataFrame([(n, [signed(x) for x in ls]) for n, ls in rows], "node bigint, l array<bigint>")
+        assert [tuple(r) for r in wide_links(df).collect()] == [(501, 500)]
