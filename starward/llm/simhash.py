@@ -24,8 +24,11 @@ LANES = 4
 #: blocks of unrelated texts meet by chance, about n * 29 / 2^28 to a value (1.3 for 12 million texts), which costs
 #: comparisons but no pairs.
 BLOCK_BITS = 28
-#: Differing bits of all lanes up to which texts are near copies: similarity 0.8 makes 39 of 256 on average, chance 128.
-WIDE_RADIUS = 46
+#: Differing bits of all lanes up to which two texts are held against each other: similarity 0.8 makes 39 of 256 on
+#: average, chance 128.
+WIDE_RADIUS = 64
+#: Part of two texts' distinct shingles that they must share to be near copies.
+SIMILARITY = 0.8
 #: Nodes under one block value up to which all pairs are compared.
 PAIRED_NODES = 8
 #: Shingles whose bits are counted in one step.
@@ -153,13 +156,38 @@ def lanes(text: Column) -> Column:
     return several.asNondeterministic()(text)
 
 
-def wide_links(nodes: DataFrame) -> DataFrame:
+def shingle_set(text: Column) -> Column:
+    """The hashes of a text's distinct shingles, sorted; null counts as empty."""
+
+    @F.arrow_udf("array<bigint>")
+    def distinct(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for (block,) in size_blocks((b,) for b in batches):
+            yield pa.array([np.unique(shingle_hashes(t, WIDE_WORDS).view(np.int64)) for t in texts_of(block)], pa.list_(pa.int64()))
+
+    return distinct.asNondeterministic()(text)
+
+
+def _similar(a: Column, b: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for one, two in batches:
+            out = []
+            for x, y in zip(one, two, strict=True):
+                p, q = x.values.to_numpy(), y.values.to_numpy()
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                out.append(shared >= SIMILARITY * (len(p) + len(q) - shared))
+            yield pa.array(out, pa.bool_())
+
+    return similar(a, b)
+
+
+def wide_links(nodes: DataFrame, texts: DataFrame | None = None) -> DataFrame:
     """Edges ``(a, b)`` between near copies among ``nodes (node, l)``, ``l`` being the lanes.
 
     Every block of a node's lanes is emitted under all values within half of two bits.  Under a value with few nodes
     all pairs are compared.  Under one with many they are compared with the smallest; those that are no near copies of it
     go on among themselves, round by round, until none is left, so an unrelated node parts nobody.  Every link is verified
-    on all bits.
+    on all bits, and with ``texts (node, text)`` by the exact similarity of both shingle sets.
     """
     mask = (1 << BLOCK_BITS) - 1
     blocks = F.flatten(
@@ -185,7 +213,7 @@ def wide_links(nodes: DataFrame) -> DataFrame:
             ranked.where("b < node").select("key", "node", "crowded", F.when(F.col("crowded"), F.array("b")).otherwise(F.col("others")).alias("b")), "met"
         )
         pairs = met.select(F.col("node").alias("a"), F.explode("b").alias("b")).distinct()
-        near = staged(_verified(pairs, nodes), "links")
+        near = staged(_verified(pairs, nodes, texts), "links")
         found = near if found is None else found.unionByName(near)
         star = met.where("crowded").select("key", "node", F.element_at("b", 1).alias("b"))
         left = staged(star.join(near.withColumnRenamed("a", "node"), ["node", "b"], "left_anti").select("key", "node"), "left")
@@ -193,23 +221,34 @@ def wide_links(nodes: DataFrame) -> DataFrame:
             return found.distinct()
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame | None) -> DataFrame:
     both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("l").alias("la")), "a").join(
         nodes.select(F.col("node").alias("b"), F.col("l").alias("lb")), "b"
     )
     differing = F.aggregate(F.zip_with("la", "lb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    return both.where(differing <= WIDE_RADIUS).select("a", "b")
+    close = both.where(differing <= WIDE_RADIUS).select("a", "b")
+    if texts is None:
+        return close
+    close = staged(close, "close")
+    asked = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    once = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    sets = staged(once.select("node", shingle_set(F.col("text")).alias("s")), "sets")
+    held = close.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"
+    )
+    return held.where(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
 
 
 def near_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, component_id`` of near copies: five-word shingles, similarity 0.8 and more.
 
-    Texts with equal first lanes are one node; ids, nulls and repeated rows are as in ``near_duplicates``.
+    Equal texts are one node; ids, nulls and repeated rows are as in ``near_duplicates``.
     """
-    prints = staged(df.select(text_column(df, doc_id).alias("doc_id"), lanes(text_column(df, text)).alias("l")), "lanes")
-    prints = prints.withColumn("node", F.element_at("l", 1))
+    body = F.coalesce(text_column(df, text), F.lit(""))
+    node = F.xxhash64(body)
+    prints = staged(df.select(text_column(df, doc_id).alias("doc_id"), node.alias("node"), lanes(body).alias("l")), "lanes")
     nodes = staged(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("l").alias("l")), "nodes")
-    roots = connected_components(wide_links(nodes))
+    roots = connected_components(wide_links(nodes, df.select(node.alias("node"), body.alias("text"))))
     rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     ids = rooted.join(lowest, "root").select("node", "component_id")

@@ -130,3 +130,25 @@ def test_unrelated_smaller_nodes_part_no_pair(spark):
         rows = [(k, lanes(0xABCDEF)) for k in range(unrelated)] + [(500, pair), (501, copy(pair))]
         df = spark.createDataFrame([(n, [signed(x) for x in ls]) for n, ls in rows], "node bigint, l array<bigint>")
         assert [tuple(r) for r in wide_links(df).collect()] == [(501, 500)]
+
+
+def test_texts_below_the_similarity_are_no_copies(spark):
+    from starward.llm.simhash import WIDE_WORDS, shingle_hashes
+
+    def similarity(a, b):
+        p, q = (set(shingle_hashes(t.encode(), WIDE_WORDS).tolist()) for t in (a, b))
+        return len(p & q) / len(p | q)
+
+    rows = []
+    for k in range(8):  # each with 4 % of its words changed, which leaves about 0.7
+        words = prose(1500 + k, 500, 4000).split()
+        rows += [(100 * k, " ".join(words), "en"), (100 * k + 1, " ".join("new" if n % 27 == 0 else w for n, w in enumerate(words)), "en")]
+        rows += [(100 * k + 2, " ".join("new" if n % 125 == 0 else w for n, w in enumerate(words)), "en")]
+    assert all(0.6 < similarity(rows[i][1], rows[i + 1][1]) < 0.75 for i in range(0, 24, 3))
+    assert [r[0] for r in rows if r[0] % 100 == 1 and similarity(rows[3 * (r[0] // 100)][1], r[1]) < 0.8] == [100 * k + 1 for k in range(8)]
+    # one phrase over and over gives both texts its own bits in every lane, whatever else they say
+    much = "again the same five words " * 40
+    rows += [(5000, much + prose(61, 30), "en"), (5001, much + prose(62, 30), "en")]
+    assert lanes_of(rows[-1][1].encode())[0] == lanes_of(rows[-2][1].encode())[0] and similarity(rows[-1][1], rows[-2][1]) < 0.8
+    got = {r.doc_id: r.component_id for r in near_groups(documents(spark, rows)).collect()}
+    assert got == {i: i - 2 if i % 100 == 2 else i for i, *_ in rows}
