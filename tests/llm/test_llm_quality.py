@@ -108,6 +108,22 @@ def test_far_texts_are_rejected_and_stages_agree(spark):
     assert kept_documents(documents(spark, [])).collect() == []
 
 
+def test_both_edges_follow_the_spread(spark):
+    import random
+
+    rng = random.Random(4)
+    low = " ".join("q" * 20 + rng.choice("abcdef") for _ in range(150))  # hardly any surprise in it, but no repeated window
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(5)) for _ in range(8)]
+    high = f"{prose(70, 32)} {' '.join(noise)}"  # a fifth of the words is noise
+    rows = [(i, prose(i, 60), "en") for i in range(60)] + [(100, low, "en"), (101, high, "en"), (102, prose(71, 60), "alone")]
+    got = {r.doc_id: r for r in judge(documents(spark, rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    usual = got[0].perplexity
+    assert 1 < usual / got[100].perplexity < math.exp(1.5) and 1 < got[101].perplexity / usual < math.exp(1.4)
+    assert {i for i, r in got.items() if r.kept} == set(range(60)) | {102}
+    assert {r.doc_id for r in kept_documents(documents(spark, rows)).collect()} == set(range(60)) | {102}
+
+
 # --- languages --------------------------------------------------------------------------------
 
 WORDS = {"en": "the thing shows other words", "fr": "été où ça façon leurs eaux", "de": "für über straße wörter schön"}
