@@ -18,9 +18,11 @@ from starward.sources.scratch import staged
 #: sentences have fewer, the span goes on to as many sentences as it takes.
 SPAN_SENTENCES = 3
 SPAN_WORDS = 12
-#: Words from which on one or two sentences are a span too.  A shared passage of over twice as many words
-#: has either three sentences or one of these.
-LONG_WORDS = 25
+#: Words from which on one or two sentences are a span too.
+LONG_WORDS = 12
+#: Sentences of more words are cut behind words whose last three bytes say so, one in so many; each part counts as a
+#: sentence.  Whether there is a cut depends on that word alone, so a passage is cut alike wherever it stands.
+SPLIT_WORDS, SPLIT_EVERY = 12, 4
 #: A sentence ends after . ! ? and white space, after a full-width stop, and at a line's end; the white space is its own.
 END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)[\x20\x09-\x0D]*")
 #: White space inside a sentence other than single spaces.
@@ -29,11 +31,34 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 
 
 def sentences(text: bytes) -> np.ndarray:
-    """End offset of each sentence; together they cover the text."""
+    """End offset of each sentence or part of a long one; together they cover the text."""
     ends = [m.end() for m in END.finditer(text)]
     if text and (not ends or ends[-1] < len(text)):
         ends.append(len(text))
-    return np.array(ends, np.int64)
+    return _cut_long(text, np.array(ends, np.int64))
+
+
+def _cut_long(text: bytes, ends: np.ndarray) -> np.ndarray:
+    """``ends`` and those of the parts; white space behind a part is its own."""
+    raw = np.frombuffer(text, np.uint8)
+    white = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    starts = np.flatnonzero(white[:-1] & ~white[1:]) + 1  # of words, but for one at the text's start
+    first = np.concatenate(([0], ends[:-1]))
+    words = np.searchsorted(starts, ends) - np.searchsorted(starts, first, side="right") + 1
+    if not (words > SPLIT_WORDS).any():
+        return ends
+    last = np.flatnonzero(~white[:-1] & white[1:])  # last byte of each word that has something behind it
+    if white[0]:
+        starts = starts[1:]
+    last = last[: len(starts)]  # the word before each start
+    one, two, three = raw[last].astype(np.uint32), raw[np.maximum(last - 1, 0)].astype(np.uint32), raw[np.maximum(last - 2, 0)].astype(np.uint32)
+    two[(last < 1) | white[np.maximum(last - 1, 0)]] = 0
+    three[(last < 2) | (two == 0) | white[np.maximum(last - 2, 0)]] = 0
+    mixed = (one | two << np.uint32(8) | three << np.uint32(16)) * np.uint32(0x9E3779B1)
+    cuts = starts[(mixed >> np.uint32(16)) % np.uint32(SPLIT_EVERY) == 0]
+    inside = np.searchsorted(ends, cuts, side="left")  # the sentence that a cut at this place lies in
+    cuts = cuts[words[np.minimum(inside, len(ends) - 1)] > SPLIT_WORDS]
+    return np.unique(np.concatenate((ends, cuts)))
 
 
 def spans(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:

@@ -77,3 +77,35 @@ def test_emptied_rows_go_and_blank_ones_stay(spark):
     assert kept.columns == df.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [1, 3, 4, None]
     assert remaining(documents(spark, [])).collect() == []
+
+
+def test_passages_inside_other_sentences_go(spark):
+    import random
+
+    def passage(seed, n):
+        rng = random.Random(seed)
+        return ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n)]
+
+    whole = [passage(k, 80) for k in range(20)]  # no full stop in it
+    own = lambda k, n: " ".join(passage(k, n))
+    rows = [(k, f"{own(100 + k, 9)} {' '.join(p)} {own(200 + k, 14)}.", "en") for k, p in enumerate(whole)]
+    rows += [(100 + k, f"{own(300 + k, 21)} {' '.join(p)} {own(400 + k, 5)}. {own(500 + k, 7)}.", "en") for k, p in enumerate(whole)]
+    cut = passage(900, 51)  # 15, 12, 12 and 12 words, the first and last run into others
+    stops = " ".join(w + ("." if i in (14, 26, 38) else "") for i, w in enumerate(cut))
+    rows += [(300, f"{own(901, 6)} {stops} {own(902, 9)}.", "en"), (301, f"{own(903, 8)} {stops} {own(904, 4)}.", "en")]
+    left = {r.doc_id: (r.text or "").replace(".", "").split() for r in drop_repeated_spans(documents(spark, rows)).collect()}
+    for k, p in enumerate(whole):
+        assert len(left[k]) == 103
+        assert sum(w in set(p) for w in left[100 + k]) < 50  # no run of 50 words stays
+        assert len(left[100 + k]) - sum(w in set(p) for w in left[100 + k]) == 33
+    assert sum(w in set(cut) for w in left[301]) <= 27  # both whole sentences went
+    assert len(left[301]) - sum(w in set(cut) for w in left[301]) == 12
+
+
+def test_cuts_cover_the_text_and_depend_on_words_alone():
+    for t in ("", "a", " ", "  a b", prose(5, 300).replace(".", ""), "\tx" * 40, "x" * 99, " y " * 30):
+        ends = sentences(t.encode()).tolist()
+        assert ends == sorted(set(ends)) and (ends[-1:] == [len(t)] if t else not ends)
+    words = prose(6, 200).replace(".", "").split()
+    for text in (" ".join(words), "  ".join(words), " " + "\t".join(words)):
+        assert [p.split() for p in pieces(text)] == [p.split() for p in pieces(" ".join(words))]
