@@ -19,9 +19,16 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
 
 def oracles() -> dict[str, str]:
     from starward.llm.packing import pack_sql
+    from starward.llm.search import ranked_sql
     from starward.llm.urls import judge_sql
+    from starward.llm.variants import variants_sql
 
-    return {"op2_url_association_rules": judge_sql(), "op10_length_bucket_packing": pack_sql()}
+    return {
+        "op2_url_association_rules": judge_sql(),
+        "op10_length_bucket_packing": pack_sql(),
+        "op12_document_fp_tree": ranked_sql(),
+        "op13_permuterm_variants": variants_sql(),
+    }
 
 
 def tokenizer_path(name: str) -> str:
@@ -100,4 +107,18 @@ def op2_url_association_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
 
+@query
+def op12_document_fp_tree(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.search import ranked
+
+    return ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op13_permuterm_variants(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.variants import spelling_variants
+
+    return spelling_variants(table(spark, folder, "documents"))
+
+
 ORACLE_SQL.update(oracles())
