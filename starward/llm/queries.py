@@ -107,6 +107,13 @@ def op2_url_association_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
 
 
+@query
+def op11_recurrent_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    from starward.llm.toxicity import judge_toxicity
+
+    return judge_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op12_document_fp_tree(spark: SparkSession, folder: str) -> DataFrame:
     from starward.llm.search import ranked
