@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starward.llm.common import fresh, size_blocks, text_column, texts_of
@@ -16,21 +16,6 @@ from starward.sources.scratch import staged
 
 SHINGLE_WORDS = 3
 SEED = 42
-#: For near copies at a similarity of 0.8: five-word shingles and four lanes of 64 bits, since a text of that
-#: similarity differs in a seventh of its bits, far more than two of 64.
-WIDE_WORDS = 5
-LANES = 4
-#: Each lane has two blocks of so many bits; two texts are compared if any block differs in two bits or fewer.  The
-#: blocks of unrelated texts meet by chance, about n * 29 / 2^28 to a value (1.3 for 12 million texts), which costs
-#: comparisons but no pairs.
-BLOCK_BITS = 28
-#: Differing bits of all lanes up to which two texts are held against each other: similarity 0.8 makes 39 of 256 on
-#: average, chance 128.
-WIDE_RADIUS = 64
-#: Part of two texts' distinct shingles that they must share to be near copies.
-SIMILARITY = 0.8
-#: Nodes under one block value up to which all pairs are compared.
-PAIRED_NODES = 8
 #: Shingles whose bits are counted in one step.
 _STEP = 1 << 16
 
@@ -66,20 +51,6 @@ def fingerprint_of(text: bytes, words: int = SHINGLE_WORDS) -> np.uint64:
     return majority(shingle_hashes(text, words))
 
 
-def lanes_of(text: bytes) -> list[int]:
-    """Several independent SimHashes of one text's longer shingles, as signed numbers."""
-    hashes = shingle_hashes(text, WIDE_WORDS)
-    out = []
-    for lane in range(LANES):
-        mixed = (hashes + np.uint64(lane)) * np.uint64(0x9E3779B97F4A7C15) if lane else hashes.copy()
-        if lane:
-            mixed ^= mixed >> np.uint64(31)
-            mixed *= np.uint64(0xD6E8FEB86659FD93)
-            mixed ^= mixed >> np.uint64(32)
-        out.append(int(majority(mixed).view(np.int64)))
-    return out
-
-
 def fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
     """Fingerprint of a text column as a signed long with the same 64 bits; null counts as empty."""
 
@@ -107,7 +78,9 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     flips = F.expr("transform(sequence(0, 63), i -> named_struct('v', fp ^ shiftleft(1L, i), 'm', shiftleft(1L, i)))")
     own = F.expr("array(named_struct('v', fp, 'm', 0L))")
     tasks = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each row becomes 65
-    emitted = prints.select("fp").distinct().repartition(tasks, "fp").select(F.inline(F.concat(own, flips)))
+    # By another hash than the distinct's own, or Spark would drop this step and join its few bytes to one or two tasks.
+    spread = prints.select("fp").distinct().repartition(tasks, F.xxhash64("fp"))
+    emitted = spread.select(F.inline(F.concat(own, flips)))
     met = (
         emitted.groupBy("v")
         .agg(F.bit_or("m").alias("m"), F.max(F.col("m") == 0).alias("own"))
@@ -121,6 +94,12 @@ def links(prints: DataFrame, radius: int = 2) -> DataFrame:
     return pairs.where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)).distinct()
 
 
+def rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """``fp, root``: the component of each distinct fingerprint, named by its smallest one."""
+    roots = connected_components(links(prints, radius)).withColumnRenamed("node", "fp")
+    return prints.select("fp").distinct().join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2) -> DataFrame:
     """``doc_id, fingerprint, component_id``, a row for each row of ``df``.
 
@@ -134,143 +113,45 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", r
     prints = staged(
         df.select(text_column(df, doc_id).alias("doc_id"), fingerprint(text_column(df, text)).alias("fp")), "prints"
     )
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = connected_components(links(prints, radius))
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = rooted.join(lowest, "root").select("fp", "component_id")
+    ids = _least_of_component(prints, F.col("doc_id"), radius).withColumnRenamed("least", "component_id")
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(ids, "fp").select("doc_id", shown, "component_id")
 
 
-def lanes(text: Column) -> Column:
-    """The lanes of a text column as an array of longs; null counts as empty."""
-
-    @F.arrow_udf("array<bigint>")
-    def several(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for (block,) in size_blocks((b,) for b in batches):
-            yield pa.array([lanes_of(t) for t in texts_of(block)], pa.list_(pa.int64()))
-
-    return several.asNondeterministic()(text)
-
-
-def shingle_set(text: Column) -> Column:
-    """The hashes of a text's distinct shingles, sorted; null counts as empty."""
-
-    @F.arrow_udf("array<bigint>")
-    def distinct(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for (block,) in size_blocks((b,) for b in batches):
-            yield pa.array([np.unique(shingle_hashes(t, WIDE_WORDS).view(np.int64)) for t in texts_of(block)], pa.list_(pa.int64()))
-
-    return distinct.asNondeterministic()(text)
-
+def _least_of_component(prints: DataFrame, value: Column, radius: int) -> DataFrame:
+    """``fp, least``: the smallest ``value`` among all rows of a fingerprint's component; summed by fingerprint first."""
+    nodes = prints.groupBy("fp").agg(F.min(value).alias("first"))
+    members = nodes.join(rooted(prints, radius), "fp")
+    least = members.groupBy("root").agg(F.min("first").alias("least"))
+    return members.join(least, "root").select("fp", "least")
 
-def _similar(a: Column, b: Column) -> Column:
-    @F.arrow_udf("boolean")
-    def similar(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for one, two in batches:
-            out = []
-            for x, y in zip(one, two, strict=True):
-                p, q = x.values.to_numpy(), y.values.to_numpy()
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                out.append(shared >= SIMILARITY * (len(p) + len(q) - shared))
-            yield pa.array(out, pa.bool_())
 
-    return similar(a, b)
+def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = 2) -> DataFrame:
+    """One row of ``df`` for each component of ``near_duplicates``; all columns stay.
 
-
-def wide_links(nodes: DataFrame, texts: DataFrame | None = None) -> DataFrame:
-    """Edges ``(a, b)`` between near copies among ``nodes (node, l)``, ``l`` being the lanes.
-
-    Every block of a node's lanes is emitted under all values within half of two bits.  Under a value with few nodes
-    all pairs are compared.  Under one with many they are compared with the smallest; those that are no near copies of it
-    go on among themselves, round by round, until none is left, so an unrelated node parts nobody.  Every link is verified
-    on all bits, and with ``texts (node, text)`` by the exact similarity of both shingle sets.
+    The row with the smallest id stays; a missing id is the largest.  Rows of one id with different texts are judged each by itself, and
+    of several rows with the smallest id that differ in any column the one with the smallest hash stays.  Equal rows leave one.
     """
-    mask = (1 << BLOCK_BITS) - 1
-    blocks = F.flatten(
-        F.transform("l", lambda x: F.array(x.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(x, BLOCK_BITS).bitwiseAND(F.lit(mask))))
-    )
-    flips = f"concat(array(v), transform(sequence(0, {BLOCK_BITS - 1}), i -> v ^ shiftleft(1L, i)))"
-    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # each row becomes over 200
-    left = (
-        nodes.repartition(tasks, "node")
-        .select("node", F.posexplode(blocks).alias("b", "v"))
-        .select("node", "b", F.explode(F.expr(flips)).alias("v"))
-        .select("node", (F.col("b").cast("bigint") * (mask + 1) + F.col("v")).alias("key"))
+    missing = F.array(*[F.col(f"`{c}`").isNull() for c in df.columns])
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], missing)
+    key = text_column(df, doc_id)
+    prints = staged(df.select(key.alias("doc_id"), row.alias("row"), fingerprint(text_column(df, text)).alias("fp")), "prints")
+    place = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id"), F.col("row"))
+    judged = prints.withColumn("place", place).join(_least_of_component(prints, place, radius), "fp")
+    counted = staged(
+        judged.groupBy("doc_id", "row").agg(F.max(F.col("place") == F.col("least")).alias("stays"), F.count("*").alias("n")).where("NOT stays OR n > 1"),
+        "dropped",
     )
-    ordered = Window.partitionBy("key").orderBy("node")
-    others = F.collect_list("node").over(ordered.rowsBetween(-PAIRED_NODES, -1))
-    ahead = F.lead("node", PAIRED_NODES).over(ordered)
-    smallest = F.first("node").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    crowded = F.max("ahead").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)).isNotNull()
-    found = None
-    while True:
-        ranked = left.withColumns({"ahead": ahead, "b": smallest, "others": others}).withColumn("crowded", crowded)
-        met = staged(
-            ranked.where("b < node").select("key", "node", "crowded", F.when(F.col("crowded"), F.array("b")).otherwise(F.col("others")).alias("b")), "met"
-        )
-        pairs = met.select(F.col("node").alias("a"), F.explode("b").alias("b")).distinct()
-        near = staged(_verified(pairs, nodes, texts), "links")
-        found = near if found is None else found.unionByName(near)
-        star = met.where("crowded").select("key", "node", F.element_at("b", 1).alias("b"))
-        left = staged(star.join(near.withColumnRenamed("a", "node"), ["node", "b"], "left_anti").select("key", "node"), "left")
-        if left.isEmpty():
-            return found.distinct()
-
-
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame | None) -> DataFrame:
-    both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("l").alias("la")), "a").join(
-        nodes.select(F.col("node").alias("b"), F.col("l").alias("lb")), "b"
-    )
-    differing = F.aggregate(F.zip_with("la", "lb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-    close = both.where(differing <= WIDE_RADIUS).select("a", "b")
-    if texts is None:
-        return close
-    close = staged(close, "close")
-    asked = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    once = texts.join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    sets = staged(once.select("node", shingle_set(F.col("text")).alias("s")), "sets")
-    held = close.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b"
-    )
-    return held.where(_similar(F.col("sa"), F.col("sb"))).select("a", "b")
+    mine, other = fresh(df, "drop_id"), fresh(df, "drop_row")
 
+    def rows(which: str) -> DataFrame:
+        return counted.where(which).select(F.col("doc_id").alias(mine), F.col("row").alias(other))
 
-def near_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, component_id`` of near copies: five-word shingles, similarity 0.8 and more.
+    def among(which: str, how: str) -> DataFrame:
+        return df.join(rows(which), key.eqNullSafe(F.col(mine)) & (row == F.col(other)), how)
 
-    Equal texts are one node; ids, nulls and repeated rows are as in ``near_duplicates``.
-    """
-    body = F.coalesce(text_column(df, text), F.lit(""))
-    node = F.xxhash64(body)
-    prints = staged(df.select(text_column(df, doc_id).alias("doc_id"), node.alias("node"), lanes(body).alias("l")), "lanes")
-    nodes = staged(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("l").alias("l")), "nodes")
-    roots = connected_components(wide_links(nodes, df.select(node.alias("node"), body.alias("text"))))
-    rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = rooted.join(lowest, "root").select("node", "component_id")
-    return staged(prints.select("doc_id", "node").join(ids, "node").select("doc_id", "component_id"), "groups")
-
-
-def one_of_each(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` that carry their group's id, once each; all columns stay.
-
-    Groups are those of ``near_groups``.  Repeated rows of one id leave one of them.  Rows without an id can't be named
-    and stay.
-    """
-    found = near_groups(df, doc_id, text)
-    lost = found.where(F.col("doc_id").isNotNull() & (F.col("doc_id") != F.col("component_id")))
-    mine = fresh(df, "lost_id")
-    kept = df.join(lost.select(F.col("doc_id").alias(mine)).distinct(), text_column(df, doc_id) == F.col(mine), "left_anti")
-    repeated = staged(
-        found.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(mine)),
-        "repeated",
-    )
-    if repeated.isEmpty():
+    kept = among("true", "left_anti")
+    repeated = "stays AND n > 1"
+    if counted.where(repeated).isEmpty():
         return kept
-    once = kept.join(repeated, text_column(df, doc_id) == F.col(mine), "left_anti")
-    several = kept.join(repeated, text_column(df, doc_id) == F.col(mine), "left_semi")
-    return once.unionByName(several.dropDuplicates([doc_id]))
+    return kept.unionByName(among(repeated, "left_semi").dropDuplicates())
