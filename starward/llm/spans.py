@@ -14,15 +14,12 @@ from pyspark.sql import functions as F
 from starward.llm.common import fresh, size_blocks, text_column, texts_of
 from starward.sources.scratch import staged
 
-#: Sentences in a span, and the words that one needs so that chance repeats don't count.  Where three short
-#: sentences have fewer, the span goes on to as many sentences as it takes.
-SPAN_SENTENCES = 3
+#: Words that a span needs, so that chance repeats don't count.  A span is as many sentences as it takes.
 SPAN_WORDS = 12
-#: Words from which on one or two sentences are a span too.
-LONG_WORDS = 12
-#: Sentences of more words are cut behind words whose last three bytes say so, one in so many; each part counts as a
-#: sentence.  Whether there is a cut depends on that word alone, so a passage is cut alike wherever it stands.
-SPLIT_WORDS, SPLIT_EVERY = 12, 4
+#: Sentences of more words are cut behind each word whose hash is the smallest of its own and so many to either side, which
+#: makes parts of seven words on average and of four at least; each part counts as a sentence.  Whether there is a cut depends on
+#: those words alone, so a passage is cut alike wherever it stands, but for its outermost words.
+SPLIT_WORDS, SPLIT_REACH = 12, 3
 #: A sentence ends after . ! ? and white space, after a full-width stop, and at a line's end; the white space is its own.
 END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)[\x20\x09-\x0D]*")
 #: White space inside a sentence other than single spaces.
@@ -48,14 +45,22 @@ def _cut_long(text: bytes, ends: np.ndarray) -> np.ndarray:
     if not (words > SPLIT_WORDS).any():
         return ends
     last = np.flatnonzero(~white[:-1] & white[1:])  # last byte of each word that has something behind it
+    leading = 0
     if white[0]:
-        starts = starts[1:]
+        leading, starts = starts[0], starts[1:]
     last = last[: len(starts)]  # the word before each start
     one, two, three = raw[last].astype(np.uint32), raw[np.maximum(last - 1, 0)].astype(np.uint32), raw[np.maximum(last - 2, 0)].astype(np.uint32)
     two[(last < 1) | white[np.maximum(last - 1, 0)]] = 0
     three[(last < 2) | (two == 0) | white[np.maximum(last - 2, 0)]] = 0
-    mixed = (one | two << np.uint32(8) | three << np.uint32(16)) * np.uint32(0x9E3779B1)
-    cuts = starts[(mixed >> np.uint32(16)) % np.uint32(SPLIT_EVERY) == 0]
+    length = (last - np.concatenate(([leading], starts[:-1]))).astype(np.uint32)
+    mixed = (one | two << np.uint32(8) | three << np.uint32(16) | length << np.uint32(24)) * np.uint32(0x9E3779B1)
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0x85EBCA77)
+    smallest = np.ones(len(mixed), bool)
+    for i in range(1, SPLIT_REACH + 1):
+        smallest[i:] &= mixed[i:] < mixed[:-i]
+        smallest[:-i] &= mixed[:-i] <= mixed[i:]
+    cuts = starts[smallest]
     inside = np.searchsorted(ends, cuts, side="left")  # the sentence that a cut at this place lies in
     cuts = cuts[words[np.minimum(inside, len(ends) - 1)] > SPLIT_WORDS]
     return np.unique(np.concatenate((ends, cuts)))
@@ -64,7 +69,9 @@ def _cut_long(text: bytes, ends: np.ndarray) -> np.ndarray:
 def spans(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``ends`` of sentences, and for each span its first sentence, its number of sentences, and two hashes (64 and 32 bits).
 
-    Words count as they are; the white space between them doesn't.
+    A run of sentences is a span if it has ``SPAN_WORDS`` words and lacks them without its first or without its last sentence.
+    Each sentence of a longer run lies under a span inside it, so longer ones would find nothing more.  Words count as they are;
+    the white space between them doesn't.
     """
     ends = sentences(text)
     digest = xxhash.xxh3_64_intdigest
@@ -77,14 +84,10 @@ def spans(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray,
     run = np.concatenate(([0], np.cumsum(n)))
     first, many, one, two = [], [], [], []
     for k in range(1, min(len(h), SPAN_WORDS) + 1):
-        if k > SPAN_SENTENCES and total.min() >= SPAN_WORDS:
-            break  # no shorter span lacks words
-        total = run[k:] - run[:-k]
-        if k <= SPAN_SENTENCES:
-            taken = total >= (SPAN_WORDS if k == SPAN_SENTENCES else LONG_WORDS)
-        else:  # too few words without the last sentence or without the first
-            less = run[k - 1 :] - run[: len(run) - k + 1]
-            taken = (total >= SPAN_WORDS) & (np.minimum(less[:-1], less[1:]) < SPAN_WORDS)
+        less = run[k - 1 :] - run[: len(run) - k + 1]  # words of each run of one sentence fewer
+        if k > 1 and less.min() >= SPAN_WORDS:
+            break
+        taken = (run[k:] - run[:-k] >= SPAN_WORDS) & (np.minimum(less[:-1], less[1:]) < SPAN_WORDS)
         at = np.flatnonzero(taken)
         mixed, sum_ = np.full(len(at), k, np.uint64), np.zeros(len(at), np.uint64)
         for i in range(k):
@@ -173,8 +176,7 @@ def _cleaned(text: Column, hashes: Column) -> Column:
 def drop_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with cleaned texts and two more columns, ``n_sentences`` and ``n_removed`` (before them, underscores if taken).
 
-    Every run of three consecutive sentences is hashed if it has ``SPAN_WORDS`` words, else as many more as it
-    takes before or behind; and so is every run of one or two with ``LONG_WORDS``.  All hashes meet in one aggregate, which finds those in several documents and the
+    Every run of consecutive sentences that just has ``SPAN_WORDS`` words is hashed.  All hashes meet in one aggregate, which finds those in several documents and the
     smallest id that has each.  A sentence goes if any span over it occurs in a document with a smaller id
     or earlier in its own text; the rest of the text stays byte for byte.
 

@@ -1,6 +1,6 @@
 from cases import awkward, documents, prose
 
-from starward.llm.spans import LONG_WORDS, SPAN_SENTENCES, SPAN_WORDS, drop_repeated_spans, remaining, sentences
+from starward.llm.spans import SPAN_WORDS, drop_repeated_spans, remaining, sentences
 
 
 def pieces(text):
@@ -10,17 +10,11 @@ def pieces(text):
 
 
 def plain_spans(parts):
+    """Every run of enough words, however long: the operator hashes the shortest ones only, which must remove the same."""
     words = [p.split() for p in parts]
     for i in range(len(parts)):
-        for j in range(i + 1, min(len(parts), i + SPAN_WORDS) + 1):
-            n, many = sum(map(len, words[i:j])), j - i
-            if many < SPAN_SENTENCES:
-                ok = n >= LONG_WORDS
-            elif many == SPAN_SENTENCES:
-                ok = n >= SPAN_WORDS
-            else:
-                ok = n >= SPAN_WORDS and min(n - len(words[i]), n - len(words[j - 1])) < SPAN_WORDS
-            if ok:
+        for j in range(i + 1, min(len(parts), i + 2 * SPAN_WORDS) + 1):
+            if sum(map(len, words[i:j])) >= SPAN_WORDS:
                 yield i, j, tuple(b" ".join(w) for w in words[i:j])
 
 
