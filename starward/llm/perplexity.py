@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,16 @@ from starward.llm.common import fresh, size_blocks, text_column, texts_of
 from starward.sources.scratch import staged
 
 ORDER = 5
-#: An n-gram is stored if its count is at least this part of all counts of its order, so an order has at
-#: most so many entries however large the corpus is.  What is left out still counts in its context's
-#: total, and its share goes to the shorter n-grams.
-ENTRIES = 1 << 20
+#: Entries of the models that are sent to the executors at once (twelve bytes each).  Languages are dealt to as many models as that
+#: takes, each with its own pass over its documents, so what is stored grows with the corpus and what a task holds does not.  A language
+#: is not parted; how many n-grams of five letters inside words it can have is bounded by its letters.
+MODEL_ENTRIES = 1 << 24
 #: N-grams of three and more letters are stored from this count on: what stands only once says nothing about
 #: the text that it was counted in.
 LEAST_COUNT = 2
 #: Band around a language's median log perplexity: so many quartile ranges each way.
 BAND_RANGES = 6.0
-BLOCK = 8 << 20
+BLOCK = 2 << 20
 START, END = "\x02", "\x03"
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -220,7 +222,7 @@ def discounts(n: DataFrame) -> DataFrame:
     return n.groupBy("lang").agg(*seen).select("lang", d(1, 0.5), d(2, 1.0), d(3, 1.5))
 
 
-def kneser_ney(counted: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> tuple[DataFrame, DataFrame, DataFrame]:
+def kneser_ney(counted: DataFrame, order: int = ORDER) -> tuple[DataFrame, DataFrame, DataFrame]:
     """N-grams ``(lang, gram, share)``, contexts ``(lang, context, back)`` and ``(lang, floor)``.
 
     The longest n-grams have their counts; a shorter one counts the different letters before it, or its
@@ -237,7 +239,7 @@ def kneser_ney(counted: DataFrame, order: int = ORDER, entries: int = ENTRIES) -
                 level.select("lang", "gram", F.when(F.col("gram").startswith(START), F.col("raw")).otherwise(F.col("different")).alias("c"), "raw"),
                 f"grams{n}",
             )
-        least = max((level.agg(F.sum("c")).first()[0] or 0) / entries, LEAST_COUNT if n >= 3 else 1)
+        least = LEAST_COUNT if n >= 3 else 1
         off = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
         rated = (
             level.join(staged(discounts(level), "discounts"), "lang")  # by its size, not by dealing n-grams to languages
@@ -276,12 +278,34 @@ def sorted_hashes(rows: DataFrame, text: str, value: str, kind: int) -> tuple[np
     return keys, found["v"].to_numpy()
 
 
-def train(docs: DataFrame, order: int = ORDER, entries: int = ENTRIES) -> Model:
-    """The model of ``docs (text, lang)``; ``order`` times ``entries`` n-grams and as many contexts at most reach the driver."""
+def train(docs: DataFrame, order: int = ORDER, entries: int = MODEL_ENTRIES) -> Iterator[tuple[list[str], Model]]:
+    """The models of ``docs (text, lang)``, one after the other, each with its languages; they hold about ``entries`` rows or one language."""
     counted = staged(counted_grams(docs, order), "grams")
-    grams, contexts, floor = kneser_ney(counted, order, entries)
+    grams, contexts, floor = kneser_ney(counted, order)
+    grams, contexts = staged(grams, "shares"), staged(contexts, "backs")
     floors = {r["lang"]: r["floor"] for r in floor.collect()}  # a row a language
-    return Model(*sorted_hashes(grams, "gram", "share", 0), *sorted_hashes(contexts, "context", "back", 1), floors)
+    sizes = grams.select("lang").unionByName(contexts.select("lang")).groupBy("lang").count()
+    for langs in dealt(sorted((r["lang"], r["count"]) for r in sizes.collect()), entries):
+        mine = F.col("lang").isin(langs)
+        yield langs, Model(
+            *sorted_hashes(grams.where(mine), "gram", "share", 0),
+            *sorted_hashes(contexts.where(mine), "context", "back", 1),
+            {x: floors[x] for x in langs},
+        )
+
+
+def dealt(sizes: list[tuple[str, int]], most: int) -> list[list[str]]:
+    """Names in runs whose sizes sum to ``most`` at most, or of one name."""
+    runs: list[list[str]] = []
+    held = 0
+    for name, size in sizes:
+        if runs and held + size <= most:
+            runs[-1].append(name)
+            held += size
+        else:
+            runs.append([name])
+            held = size
+    return runs
 
 
 # --- judging ----------------------------------------------------------------------------------
@@ -339,12 +363,20 @@ def _scored(df: DataFrame, lang: Column, text: Column, model, keep: list[Column]
     return out.select(*keep, lang.alias("lang"), f"{m}.*", failed.alias("base_failed"))
 
 
-def _model(df: DataFrame, lang: Column, text: Column):
-    model = train(df.where(text.isNotNull()).select(text.alias("text"), lang.alias("lang")))
-    return df.sparkSession.sparkContext.broadcast(model)
+def _models(df: DataFrame, lang: Column, text: Column, entries: int) -> list[tuple[Column, Broadcast]]:
+    """Which rows of ``df`` each model is for, and its broadcast; every row has one, and at most one model is in a task."""
+    context = df.sparkSession.sparkContext
+    models, known = [], []
+    for langs, model in train(df.where(text.isNotNull()).select(text.alias("text"), lang.alias("lang")), entries=entries):
+        models.append((lang.isin(langs), context.broadcast(model)))
+        known += langs
+    if len(models) == 1:
+        return [(F.lit(True), models[0][1])]
+    none = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+    return [*models, (~lang.isin(known) if known else F.lit(True), context.broadcast(Model(*none, *none, {})))]
 
 
-def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", entries: int = MODEL_ENTRIES) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, perplexity``, a row for each row.
 
     ``kept`` is false where the base rules fail or the perplexity lies outside its language's band.
@@ -353,25 +385,28 @@ def judge(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     language whose texts all fail has no band and keeps none.  An empty table gives no rows.  Further columns are ignored.
     """
     body, code = text_column(df, text), F.coalesce(text_column(df, lang), F.lit(""))
-    scored = staged(_scored(df, code, body, _model(df, code, body), [text_column(df, doc_id).alias("doc_id")]), "scored")
+    key = text_column(df, doc_id).alias("doc_id")
+    parts = [_scored(df.where(mine), code, body, model, [key]) for mine, model in _models(df, code, body, entries)]
+    scored = staged(reduce(DataFrame.unionByName, parts), "scored")
     inside = F.coalesce(rounded(F.col("log_perplexity")).between(F.col("lower"), F.col("upper")), F.lit(False))
     return scored.join(staged(bands(scored), "bands"), "lang", "left").select(
         "doc_id", *BASE, "base_failed", (~F.col("base_failed") & inside).alias("kept"), F.exp("log_perplexity").alias("perplexity")
     )
 
 
-def kept_documents(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def kept_documents(df: DataFrame, text: str = "text", lang: str = "lang", entries: int = MODEL_ENTRIES) -> DataFrame:
     """The rows of ``df`` that ``judge`` keeps, with their columns.
 
     Texts are measured twice, for the bands and for the choice, so that they needn't be shuffled to meet their scores.
     """
     body, code = text_column(df, text), F.coalesce(text_column(df, lang), F.lit(""))
-    model = _model(df, code, body)
-    limits = bands(staged(_scored(df, code, body, model, []), "scored")).collect()  # a row a language
+    models = _models(df, code, body, entries)
+    scored = staged(reduce(DataFrame.unionByName, [_scored(df.where(mine), code, body, m, []) for mine, m in models]), "scored")
+    limits = bands(scored).collect()  # a row a language
     found = fresh(df, "measured")
     log, n, repeated = (F.col(f"{found}.{c}") for c in ("log_perplexity", "n_words", "n_repeat_words"))
     inside = F.lit(False)
     for r in limits:
         inside = F.when(code == r["lang"], rounded(log).between(r["lower"], r["upper"])).otherwise(inside)
-    kept = df.withColumn(found, measured(body, code, model)).where(~base_failed(n, repeated) & inside)
-    return kept.drop(found)
+    parts = [df.where(mine).withColumn(found, measured(body, code, m)).where(~base_failed(n, repeated) & inside).drop(found) for mine, m in models]
+    return reduce(DataFrame.unionByName, parts)

@@ -81,12 +81,12 @@ def test_perplexity_by_definition(spark):
             assert got[i] == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-4)
 
 
-def test_a_small_table_of_ngrams_still_sums_to_one(spark):
+def test_probabilities_sum_to_one(spark):
     import numpy as np
 
     rows = [(prose(i, 60, 60), "en") for i in range(5)]
-    model = train(spark.createDataFrame(rows, "text string, lang string"), order=3, entries=60)
-    assert len(model.grams) <= 3 * 60
+    ((langs, model),) = train(spark.createDataFrame(rows, "text string, lang string"), order=3)
+    assert langs == ["en"]
     letters = sorted({c for t, _ in rows for w in t.split() for c in w + END})
     for context in ("wa", START * 2, "zz"):
         grams = np.array([[ord(x) for x in context + c] for c in letters], np.uint32)
@@ -94,6 +94,15 @@ def test_a_small_table_of_ngrams_still_sums_to_one(spark):
         assert total == pytest.approx(1, abs=0.05)  # the rest is for letters never seen
 
 
+def test_languages_dealt_to_several_models_are_judged_alike(spark):
+    rows = awkward() + [(100 + i, prose(i, 50, 60 + i % 3), ("en", "fr", "de")[i % 3]) for i in range(30)]
+    df = documents(spark, rows)
+    whole, dealt = (sorted((tuple(r) for r in judge(df, entries=n).collect()), key=repr) for n in (1 << 20, 1))
+    assert whole == dealt
+    kept = [sorted((r.doc_id for r in kept_documents(df, entries=n).collect()), key=repr) for n in (1 << 20, 1)]
+    assert kept[0] == kept[1]
+
+
 def test_far_texts_are_rejected_and_stages_agree(spark):
     import random
 
