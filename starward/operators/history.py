@@ -51,14 +51,7 @@ def scd2_merge(
     if reclose:
         history = history.withColumn(END, today).withColumn(CURRENT, F.lit(0))
 
-    tagged = source.select(*columns, F.lit(1).alias(_SRC), F.lit(0).alias(_CUR)).unionByName(
-        current.select(*columns, F.lit(0).alias(_SRC), F.lit(1).alias(_CUR))
-    )
-    sides = tagged.groupBy(*columns).agg(F.sum(_SRC).alias(_SRC), F.sum(_CUR).alias(_CUR))
-    has_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
-    stays = (F.col(_SRC) > 0) & (F.col(_CUR) > 0) & ~has_null
-    changes = staged(sides.where(~stays), f"{key}-changes")
-
+    changes = scd2_changes(current, source, columns, key)
     closing = changes.where(F.col(_CUR) > 0).select(*columns, F.lit(True).alias("_closes"))
     same = all_equal("t", "s", columns, nulls_match=True)
     checked = current.alias("t").join(closing.alias("s"), same, "left")
@@ -69,17 +62,48 @@ def scd2_merge(
         F.when(closes, 0).otherwise(1).alias(CURRENT),
     )
 
-    opened = assign_keys(
-        expand_copies(changes.select(*columns, _SRC), _SRC),
+    opened = scd2_opened(changes, columns, key, as_of, highest_key(dim, key) if start is None else start, order_by, unique)
+    return history.select(*layout).unionByName(after).unionByName(opened)
+
+
+def scd2_changes(current: DataFrame, source: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """Distinct rows that only one side has, with how often on each side, written once."""
+    tagged = source.select(*columns, F.lit(1).alias(_SRC), F.lit(0).alias(_CUR)).unionByName(
+        current.select(*columns, F.lit(0).alias(_SRC), F.lit(1).alias(_CUR))
+    )
+    sides = tagged.groupBy(*columns).agg(F.sum(_SRC).alias(_SRC), F.sum(_CUR).alias(_CUR))
+    has_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
+    stays = (F.col(_SRC) > 0) & (F.col(_CUR) > 0) & ~has_null
+    return staged(sides.where(~stays), f"{key}-changes")
+
+
+def scd2_closing(current: DataFrame, changes: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+    """The keys of current rows that ``changes`` end."""
+    ending = changes.where(F.col(_CUR) > 0).select(*columns)
+    same = all_equal("t", "s", columns, nulls_match=True)
+    return current.alias("t").join(ending.alias("s"), same, "left_semi").select(key)
+
+
+def scd2_opened(
+    changes: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    as_of: date,
+    start: int | Column,
+    order_by: Sequence[str | Column] | None = None,
+    unique: bool = False,
+) -> DataFrame:
+    """The rows that ``changes`` open on ``as_of``, with new keys above ``start``."""
+    return assign_keys(
+        expand_copies(changes.select(*columns, _SRC), _SRC, spread=not unique),
         key,
-        order_by=columns[:1] if order_by is None else order_by,
-        start=highest_key(dim, key) if start is None else start,
+        order_by=list(columns[:1]) if order_by is None else order_by,
+        start=start,
         unique=unique,
     ).select(
         key,
         *columns,
-        today.alias(START),
+        F.lit(as_of).alias(START),
         F.lit(None).cast("date").alias(END),
         F.lit(1).alias(CURRENT),
     )
-    return history.select(*layout).unionByName(after).unionByName(opened)

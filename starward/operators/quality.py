@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starward.sources.scratch import staged
+
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with ``copies``; hot keys combine before the shuffle."""
@@ -100,3 +103,57 @@ def warehouse_violations(name: str, table: DataFrame) -> DataFrame:
     repeated = duplicate_keys(table, keys).agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("rows")).where("rows > 0")
     twice = repeated.select(F.lit(f"{', '.join(keys)} more than once").alias("rule"), "rows")
     return single.unionByName(twice).select(F.lit(name).alias("table"), "rule", "rows")
+
+
+# The dimension and key that each key column of a fact refers to.
+REFERENCES = {
+    "fact_visits": {
+        "DateKey": ("dim_dates", "DateKey"),
+        "ClinicKey": ("dim_clinics", "ClinicKey"),
+        "PatientKey": ("dim_patients", "PatientKey"),
+        "DoctorKey": ("dim_doctors", "DoctorKey"),
+        "ProcedureKey": ("dim_procedures", "ProcedureKey"),
+    },
+    "fact_doctor_shifts": {
+        "ShiftDateKey": ("dim_dates", "DateKey"),
+        "ClinicKey": ("dim_clinics", "ClinicKey"),
+        "ShiftKey": ("dim_shifts", "ShiftKey"),
+        "DoctorKey": ("dim_doctors", "DoctorKey"),
+    },
+}
+
+
+def orphan_keys(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
+    """``column, rows``: the values without a parent and how many rows have each.
+
+    Rows are counted by value before the join, so a hot value is one row there and the join is as large as the values in use.
+    """
+    used = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("rows"))
+    known = parent.select(F.col(parent_column).alias("_known"))
+    return used.join(known, F.col(column) == F.col("_known"), "left_anti")
+
+
+def reference_violations(name: str, fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """``table, rule, rows``: how many rows of a fact refer to no member of each dimension; none if all do."""
+    each = []
+    for column, (dimension, key) in REFERENCES[name].items():
+        counted = orphan_keys(fact, column, dimensions[dimension], key).agg(F.sum("rows").alias("rows")).where("rows > 0")
+        each.append(counted.select(F.lit(name).alias("table"), F.lit(f"{column} not in {dimension}").alias("rule"), "rows"))
+    return reduce(DataFrame.unionByName, each)
+
+
+def split_by_reference(name: str, fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The rows of a fact whose references all exist, and the others with the broken ones in ``reason``.
+
+    The keys that have no parent are few and are found first; the fact then meets only those.
+    """
+    marked, flags = fact, []
+    for column, (dimension, key) in REFERENCES[name].items():
+        bad = f"_bad_{column}"
+        orphans_ = staged(orphan_keys(fact, column, dimensions[dimension], key), "orphans")
+        side = orphans_.select(F.col(column).alias(bad))
+        marked = marked.join(side, F.col(column) == F.col(bad), "left")
+        flags.append(F.when(F.col(bad).isNotNull(), F.lit(f"{column} not in {dimension}")))
+    told = marked.withColumn("reason", F.array_join(F.array_compact(F.array(*flags)), "; "))
+    good = told.where(F.col("reason") == "").select(*fact.columns)
+    return good, told.where(F.col("reason") != "").select(*fact.columns, "reason")

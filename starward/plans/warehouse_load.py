@@ -9,35 +9,51 @@ from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from starward.operators.history import scd2_merge
 from starward.operators.merge import applied, change_counts, fact_merge
-from starward.operators.quality import warehouse_violations
+from starward.operators.quality import reference_violations, split_by_reference, warehouse_violations
 from starward.operators.sync import scd1_actions, scd1_sync
 from starward.plans import dimensions as D
 from starward.plans.facts import SHIFT_FACT, VISIT_FACT, fact_shifts_src, fact_visits_src
 from starward.plans.together import results_of, together
 from starward.schemas import UNKNOWN_DOCTOR, WAREHOUSE
 from starward.sources.generated import date_spine
+from starward.sources.history import HistoryTable
+from starward.sources.ledger import LossLedger, append_counts, read_counts
+from starward.sources.parts import PartTable, digests
 from starward.sources.runlog import append_event
 from starward.sources.scratch import staged
 from starward.sources.snapshots import SnapshotTable
-from starward.sources.tables import read_table_or_empty, stage_table
+from starward.sources.tables import append_rows, read_table_or_empty, stage_table
 
 #: Sources that are copied before the load.  Visits are read where they are, as they were when
 #: the fact is built.
 STAGED = ("clinics", "doctors", "doctor_shifts", "shifts", "patients", "procedures")
 
 
+#: Facts are stored by the month of their day.
+MONTH = T.StructField("MonthID", T.IntegerType())
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """The tables of the star under one folder."""
+    """The tables of the star under one folder.
+
+    Facts are stored in months, patients as a growing history, and the other dimensions as whole snapshots.
+    """
 
     spark: SparkSession
     root: str
 
-    def table(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/{name}", WAREHOUSE[name])
+    def table(self, name: str) -> SnapshotTable | PartTable | HistoryTable:
+        folder, schema = f"{self.root}/{name}", WAREHOUSE[name]
+        if name.startswith("fact_"):
+            return PartTable(self.spark, folder, schema, MONTH)
+        if name == "dim_patients":
+            return HistoryTable(self.spark, folder, schema, "PatientKey")
+        return SnapshotTable(self.spark, folder, schema)
 
     def read(self, name: str) -> DataFrame:
         return self.table(name).read()
@@ -46,6 +62,19 @@ class Warehouse:
     def log_path(self) -> str:
         return f"{self.root}/etl_log"
 
+    @property
+    def counts_path(self) -> str:
+        return f"{self.root}/etl_counts"
+
+    def counts(self) -> DataFrame:
+        """What each run counted of itself: ``run_at, table_name, part, n_rows``."""
+        return read_counts(self.spark, self.counts_path)
+
+    def rejects(self, name: str) -> DataFrame:
+        """Rows of a fact that a run set aside, with the reason."""
+        schema = T.StructType([*WAREHOUSE[name].fields, T.StructField("reason", T.StringType())])
+        return read_table_or_empty(self.spark, f"{self.root}/rejects/{name}", schema)
+
     def log(self) -> DataFrame:
         return read_table_or_empty(self.spark, self.log_path, WAREHOUSE["etl_log"])
 
@@ -54,17 +83,24 @@ class Violation(ValueError):
     """Rows about to be committed break a rule of their table."""
 
 
-def guard(name: str, on_violation: str, told: dict[str, str]) -> Callable[[DataFrame], None]:
-    """A check for ``SnapshotTable.commit``: ``"block"`` raises, ``"report"`` leaves the text in ``told``."""
-    if on_violation not in ("block", "report"):
-        raise ValueError(f"on_violation is block or report, not {on_violation}")
+def guard(
+    name: str, on_violation: str, told: dict[str, str], dimensions: Callable[[], Mapping[str, DataFrame]] | None = None
+) -> Callable[[DataFrame], None]:
+    """A check for a commit: ``"block"`` raises, ``"report"`` leaves the text in ``told``.
+
+    With ``dimensions`` the references of a fact are checked too.  Only what was written is checked: a key of a fact holds its day, so
+    it can repeat within its month only.
+    """
 
     def check(written: DataFrame) -> None:
-        found = warehouse_violations(name, written).collect()  # a row a rule
+        rules = warehouse_violations(name, written)
+        if dimensions is not None:
+            rules = rules.unionByName(reference_violations(name, written, dimensions()))
+        found = rules.collect()  # a row a rule
         if not found:
             return
         text = "; ".join(sorted(f"{r['rule']}: {r['rows']} rows" for r in found))
-        if on_violation == "block":
+        if on_violation != "report":
             raise Violation(f"{name} not committed, {text}")
         told[name] = text
 
@@ -107,22 +143,39 @@ def with_unknown_doctor(doctors: DataFrame) -> DataFrame:
 
 
 def merge_facts(
-    table: SnapshotTable,
+    table: PartTable,
     source: DataFrame,
     columns: list[str],
     unique: bool = False,
     check: Callable[[DataFrame], None] | None = None,
 ) -> dict[str, int]:
-    """Merge, and commit if anything changed; returns the rows inserted and deleted.
+    """Merge, and commit the months that changed; returns the rows inserted and deleted.
 
-    One shuffle finds the changes, which are written and counted there; the new version is the table less
-    what goes and plus what comes.  Without changes there is no new version.
+    ``source`` has the table's part column too.  It is written once, and its digest of each month is held against the one in the
+    last commit: months that agree are neither read nor shuffled.  In the others one shuffle finds the changes, which are written and
+    counted; a month's new rows are its old ones less what goes and plus what comes.  Without changes there is no new version.
+
+    A row with a NULL, which matches nothing, is deleted and inserted again only where its month differs in something.
     """
-    fact = table.read()
-    changes = staged(fact_merge(fact, source, columns, unique).changes, "fact-changes")
+    by = table.by.name
+    arrived = staged(source.select(*columns, by), "fact-source")
+    theirs = digests(arrived, by, table.schema)
+    ours: dict[str, tuple] = {}
+    for p in table.parts():
+        n, d = ours.get(p.part, (0, 0))
+        ours[p.part] = (n + p.rows, d + p.digest)
+    differing = sorted(p for p in theirs.keys() | ours.keys() if theirs.get(p) != ours.get(p))
+    nothing = {"inserted": 0, "deleted": 0}
+    if not differing and table.version:
+        return nothing
+    fact = table.read(differing, stored=True)
+    part_of_row = F.col(by).cast("string")
+    some = arrived.where(part_of_row.isin(differing) | part_of_row.isNull())
+    both = [*columns, by]
+    changes = staged(fact_merge(fact, some, both, unique).changes, "fact-changes")
     counts = change_counts(changes)
     if any(counts.values()) or table.version == 0:
-        table.commit(applied(fact, changes, columns, unique), check=check)
+        table.commit(applied(fact, changes, both, unique), replace=differing, check=check)
     return counts
 
 
@@ -147,12 +200,24 @@ def load_warehouse(
     ``protect_unknown`` keeps the type 1 sync from marking the unknown doctor as deleted.
 
     What a step has written is checked before it is made current: no missing, too long or unallowed value, no key
-    twice.  With ``on_violation="block"`` a table that breaks a rule stays as it was and its step fails;
-    ``"report"`` commits it and leaves the rules and their numbers of rows in the log.
+    twice, no reference to a member that isn't there.  With ``on_violation="block"`` a table that breaks a rule stays as it was and
+    its step fails; ``"report"`` commits it and leaves the rules and their numbers of rows in the log; ``"reject"`` is as ``"block"``, but
+    sets fact rows without a member aside first (``Warehouse.rejects``).
+
+    Every table's rows before, added, gone and after, and what each lookup of a fact dropped, go to ``Warehouse.counts``.
     """
+    if on_violation not in ("block", "report", "reject"):
+        raise ValueError(f"on_violation is block, report or reject, not {on_violation}")
     w, spark = warehouse, warehouse.spark
     told: dict[str, str] = {}
-    checks = {name: guard(name, on_violation, told) for name in WAREHOUSE if name != "etl_log"}
+    dims = [name for name in WAREHOUSE if name.startswith("dim_")]
+
+    def dimensions() -> dict[str, DataFrame]:
+        return {name: w.read(name) for name in dims}
+
+    checks = {name: guard(name, on_violation, told) for name in dims}
+    checks |= {name: guard(name, on_violation, told, dimensions) for name in WAREHOUSE if name.startswith("fact_")}
+    counted: dict[str, list[tuple[str, str, int]]] = {}
     spine = date_spine(spark) if spine is None else spine
     protected = {"protect_keys": (0,)} if protect_unknown else {}
 
@@ -168,12 +233,9 @@ def load_warehouse(
                    check=checks["dim_doctors"], **protected)
 
     def patients():
-        table = w.table("dim_patients")
-        state = scd2_merge(
-            table.read(), D.dim_patients_src(sources["patients"]), D.PATIENT, "PatientKey",
-            as_of, reclose=reclose, start=table.high_water,
-        )
-        table.commit(state, key="PatientKey", check=checks["dim_patients"])
+        return w.table("dim_patients").merge(
+            D.dim_patients_src(sources["patients"]), D.PATIENT, as_of, reclose=reclose, check=checks["dim_patients"], unique=True
+        )
 
     def procedures():
         sync_type1(w.table("dim_procedures"), D.dim_procedures_src(sources["procedures"]),
@@ -187,20 +249,38 @@ def load_warehouse(
         sync_type1(w.table("dim_dates"), D.dim_dates_src(spine, *days), D.DAY,
                    "DateKey", on_delete="drop", unique=True, check=checks["dim_dates"])
 
+    def fact(name: str, source: DataFrame, columns: list[str], ledger: LossLedger, unique: bool = False):
+        table = w.table(name)
+        before = table.rows()
+        rejected = None
+        if on_violation == "reject":
+            source, rejected = split_by_reference(name, staged(source, "fact-source"), dimensions())
+            rejected = staged(rejected.select(*WAREHOUSE[name].names, "reason"), "rejected")
+            append_rows(rejected, f"{w.root}/rejects/{name}")
+        counts = merge_facts(table, source, columns, unique=unique, check=checks[name])
+        steps = {"before": before, "added": counts["inserted"], "gone": counts["deleted"], "after": table.read().count()}
+        steps |= {"read": ledger.counts()["read"], **{f"dropped by {d}": n for d, n in ledger.losses().items()}}
+        if rejected is not None:
+            steps["rejected"] = rejected.count()
+        counted[name] = [(name, part, n) for part, n in steps.items()]
+        return counts
+
     def doctor_shifts():
+        ledger = LossLedger()
         source = fact_shifts_src(
             sources["doctor_shifts"], w.read("dim_dates"), w.read("dim_clinics"),
-            w.read("dim_shifts"), w.read("dim_doctors"), unknown,
+            w.read("dim_shifts"), w.read("dim_doctors"), unknown, month=True, ledger=ledger,
         )
-        return merge_facts(w.table("fact_doctor_shifts"), source, SHIFT_FACT, check=checks["fact_doctor_shifts"])
+        return fact("fact_doctor_shifts", source, SHIFT_FACT, ledger)
 
     def visits():
+        ledger = LossLedger()
         source = fact_visits_src(
             sources["visits"], w.read("dim_dates"), w.read("dim_clinics"),
-            w.read("dim_patients"), w.read("dim_doctors"), w.read("dim_procedures"), unknown,
+            w.table("dim_patients").current(), w.read("dim_doctors"), w.read("dim_procedures"), unknown, month=True, ledger=ledger,
         )
         # The source is grouped by its keys, so no row occurs twice.
-        return merge_facts(w.table("fact_visits"), source, VISIT_FACT, unique=True, check=checks["fact_visits"])
+        return fact("fact_visits", source, VISIT_FACT, ledger, unique=True)
 
     _run_and_log(
         w,
@@ -216,6 +296,7 @@ def load_warehouse(
         told,
     )
     _run_and_log(w, {"fact_doctor_shifts": doctor_shifts, "fact_visits": visits}, now, told)
+    append_counts(spark, w.counts_path, [row for name in sorted(counted) for row in counted[name]], now)
 
 
 def _run_and_log(
@@ -228,7 +309,7 @@ def _run_and_log(
             failure, note = failure or result, str(result)
         else:
             note = f"{name} synced"
-            if isinstance(result, dict):
+            if isinstance(result, dict) and "inserted" in result:
                 note += f": {result['inserted']} inserted, {result['deleted']} deleted"
             if name in told:
                 note += f"; broken rules: {told[name]}"
