@@ -17,9 +17,9 @@ from starward.sources.scratch import staged
 #: Words that a span needs, so that chance repeats don't count.  A span is as many sentences as it takes.
 SPAN_WORDS = 12
 #: Sentences of more words are cut behind each word whose hash is the smallest of its own and so many to either side, which
-#: makes parts of seven words on average and of four at least; each part counts as a sentence.  Whether there is a cut depends on
+#: makes parts of nine words on average and of five at least; each part counts as a sentence.  Whether there is a cut depends on
 #: those words alone, so a passage is cut alike wherever it stands, but for its outermost words.
-SPLIT_WORDS, SPLIT_REACH = 12, 3
+SPLIT_WORDS, SPLIT_REACH = 12, 4
 #: A sentence ends after . ! ? and white space, after a full-width stop, and at a line's end; the white space is its own.
 END = re.compile(rb"[.!?]+[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*|(?:\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f)[\x20\x09-\x0D]*")
 #: White space inside a sentence other than single spaces.
@@ -131,18 +131,19 @@ def without_repeats(text: bytes, seen_before: np.ndarray) -> tuple[bytes, int, i
 
 
 def _hashes(text: Column) -> Column:
-    """An array of (h1, h2) with each span of a text once."""
+    """Whether a text repeats a span of its own, and an array of (h1, h2) with each of its spans once."""
 
-    @F.arrow_udf("array<struct<h1:bigint,h2:int>>")
+    @F.arrow_udf("struct<own:boolean,s:array<struct<h1:bigint,h2:int>>>")
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for (block,) in size_blocks((b,) for b in batches):
-            ones, twos, counts = [], [], []
+            ones, twos, counts, own = [], [], [], []
             for t in texts_of(block):
                 _, first, _, one, two = spans(t)
                 leading = _first_places(first, one)
                 ones.append(one[leading])
                 twos.append(two[leading])
                 counts.append(int(leading.sum()))
+                own.append(not leading.all())
             offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
             both = pa.StructArray.from_arrays(
                 [
@@ -151,17 +152,23 @@ def _hashes(text: Column) -> Column:
                 ],
                 ["h1", "h2"],
             )
-            yield pa.ListArray.from_arrays(pa.array(offsets), both)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), both)
+            yield pa.StructArray.from_arrays([pa.array(own, pa.bool_()), lists], ["own", "s"])
 
     return hashed.asNondeterministic()(text)
 
 
-def _cleaned(text: Column, hashes: Column) -> Column:
+def _cleaned(text: Column, hashes: Column, clean: Column) -> Column:
+    """The text without repeats; ``clean`` texts are known to have none and are only counted."""
+
     @F.arrow_udf("struct<text:string,n_sentences:bigint,n_removed:bigint>")
-    def cleaned(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for block, seen in size_blocks(batches):
+    def cleaned(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for block, seen, known_clean in size_blocks(batches):
             found = []
-            for t, s in zip(texts_of(block), seen, strict=True):
+            for t, s, whole in zip(texts_of(block), seen, known_clean.to_pylist(), strict=True):
+                if whole:
+                    found.append((t, len(sentences(t)), 0))
+                    continue
                 known = np.zeros(0, np.uint64) if not s.is_valid else s.values.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
                 found.append(without_repeats(t, known))
             texts = pa.array([x[0] for x in found], pa.binary()).cast(pa.string())
@@ -170,7 +177,7 @@ def _cleaned(text: Column, hashes: Column) -> Column:
             counts = [pa.array([x[i] for x in found], pa.int64()) for i in (1, 2)]
             yield pa.StructArray.from_arrays([texts, *counts], ["text", "n_sentences", "n_removed"])
 
-    return cleaned.asNondeterministic()(text, hashes)
+    return cleaned.asNondeterministic()(text, hashes, clean)
 
 
 def drop_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -188,13 +195,17 @@ def drop_repeated_spans(df: DataFrame, doc_id: str = "doc_id", text: str = "text
     bounded by its own texts, so a span that a third of all documents share is only counted, never gathered.
     """
     body, key = text_column(df, text), text_column(df, doc_id)
-    named = df.where(key.isNotNull() & body.isNotNull()).select(key.alias("id"), _hashes(body).alias("s"))
-    rows = staged(named.select("id", F.inline("s")), "spans")
-    several = rows.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").drop("last")
-    later = rows.join(several, ["h1", "h2"]).where("id > first")
+    named = df.where(key.isNotNull() & body.isNotNull()).select(key.alias("id"), _hashes(body).alias("f"))
+    hashed = staged(named.select("id", "f.own", "f.s"), "spans")
+    rows = hashed.select("id", F.inline("s"))
+    several = rows.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    later = rows.join(several, ["h1", "h2"]).where("id > first").select("id", "h1")
     mine, hashes, found = fresh(df, "span_id"), fresh(df, "span_hashes"), fresh(df, "span_found")
-    lists = later.groupBy(F.col("id").alias(mine)).agg(F.collect_set("h1").alias(hashes))
-    joined = df.join(lists, key == F.col(mine), "left").withColumn(found, _cleaned(body, F.col(hashes)))
+    # An id is here if it has anything to remove; nulls are no hashes.
+    own = hashed.where("own").select("id", F.lit(None).cast("bigint").alias("h1"))
+    lists = later.unionByName(own).groupBy(F.col("id").alias(mine)).agg(F.collect_set("h1").alias(hashes))
+    clean = key.isNotNull() & F.col(mine).isNull()
+    joined = df.join(lists, key == F.col(mine), "left").withColumn(found, _cleaned(body, F.col(hashes), clean))
     cleaned = [F.col(f"{found}.text").alias(c) if c == text else F.col(f"`{c}`") for c in df.columns]
     counts = [F.col(f"{found}.{c}").alias(fresh(df, c)) for c in ("n_sentences", "n_removed")]
     return joined.select(*cleaned, *counts)
