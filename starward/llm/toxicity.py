@@ -26,7 +26,7 @@ from starward.llm.gru import (
 from starward.llm.perplexity import Words, words_of
 
 #: Words in a window, and from one window's begin to the next.
-WINDOW, STRIDE = 16, 8
+WINDOW, STRIDE = 16, 12
 #: The network learns from at most so many documents of each label, those with the smallest hash of their id, and of texts
 #: up to so many bytes; what it learns of one text is at most so many of its windows, spread evenly.
 SAMPLE, SAMPLE_BYTES, SAMPLE_WINDOWS = 2000, 1 << 15, 256
