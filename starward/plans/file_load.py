@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -16,10 +16,9 @@ from starward.functions.text import marked_email
 from starward.operators.keys import assign_keys
 from starward.operators.setops import except_loaded, under_collation, union_distinct
 from starward.schemas import CLINIC_WITHOUT_NUMBER, FEED_SCHEMAS, OPERATIONAL, PATIENT_COLUMNS, VISIT_COLUMNS
-from starward.sources.counters import KeyCounter
-from starward.sources.feeds import read_feeds
+from starward.sources.feeds import delivered_files, delivery_states, read_feeds
+from starward.sources.parts import PartTable
 from starward.sources.scratch import staged
-from starward.sources.tables import append_rows, read_table_or_empty
 
 #: Physical partition column of the visits table; not part of its rows.
 VISIT_DAY = "VisitDay"
@@ -129,79 +128,89 @@ def visits_in_order(new: DataFrame) -> DataFrame:
     return new.orderBy("Date", "Clinic", *[c for c in new.columns if c not in ("Date", "Clinic")])
 
 
+#: What is kept of each delivered file.
+FILES = T.StructType(
+    [
+        T.StructField("Clinic", T.StringType()),
+        T.StructField("Kind", T.StringType()),
+        T.StructField("File", T.StringType()),
+        T.StructField("Lines", T.LongType()),
+        T.StructField("Digest", T.DecimalType(38, 0)),
+        T.StructField("State", T.StringType()),
+    ]
+)
+
+
+class Redelivered(ValueError):
+    """A file that was loaded came again with other content."""
+
+
 @dataclass(frozen=True)
 class Operational:
-    """Where the two operational tables lie."""
+    """Where the two operational tables and the list of loaded files lie.
+
+    A load's rows are a folder of their own for each day, and one commit row makes them visible.
+    """
 
     root: str
 
-    @property
-    def patients_path(self) -> str:
-        return f"{self.root}/patients"
+    def patients_table(self, spark: SparkSession) -> PartTable:
+        return PartTable(spark, f"{self.root}/patients", OPERATIONAL["patients"])
 
-    @property
-    def visits_path(self) -> str:
-        return f"{self.root}/visits"
+    def visits_table(self, spark: SparkSession) -> PartTable:
+        return PartTable(spark, f"{self.root}/visits", STORED_VISITS, STORED_VISITS[VISIT_DAY])
+
+    def files_table(self, spark: SparkSession) -> PartTable:
+        return PartTable(spark, f"{self.root}/files", FILES)
 
     def patients(self, spark: SparkSession) -> DataFrame:
-        return read_table_or_empty(spark, self.patients_path, OPERATIONAL["patients"])
+        return self.patients_table(spark).read()
 
     def visits(self, spark: SparkSession) -> DataFrame:
-        return read_table_or_empty(spark, self.visits_path, STORED_VISITS)
+        return self.visits_table(spark).read()
 
-    def counter(self, spark: SparkSession, name: str) -> KeyCounter:
-        return KeyCounter(spark, f"{self.root}/counters/{name}")
+    def files(self, spark: SparkSession) -> DataFrame:
+        """Every file loaded, once for each content it came with."""
+        return self.files_table(spark).read()
 
 
-def _append_numbered(
-    fresh: DataFrame, loaded: DataFrame, counter: KeyCounter, append: Callable[[DataFrame], None]
-) -> int:
+def _append_numbered(fresh: DataFrame, table: PartTable, batch: str | None) -> int:
     """Give new rows their IDs, in the order of their columns, and append them; returns how many.
 
-    The rows are distinct already, and the numbers are dense, so they also count the rows.
+    The rows are distinct already.  The commit that shows them also keeps the highest ID, so a load that dies before it has given out
+    none.
     """
-    start = counter.value(loaded, "ID")
-    numbered = assign_keys(fresh, "ID", order_by=fresh.columns, start=start, unique=True)
-    top = numbered.agg(F.max("ID")).first()[0]
-    if top is None:
+    numbered = assign_keys(fresh, "ID", order_by=fresh.columns, start=table.high_water, unique=True)
+    if numbered.isEmpty():
         return 0
-    counter.raise_to(top)
-    append(numbered)
-    return top - start
+    if table.by is not None:
+        numbered = numbered.withColumn(VISIT_DAY, F.to_date("Date"))
+    return sum(p.rows for p in table.commit(numbered, replace=(), key="ID", batch=batch))
 
 
 def append_patients(
-    spark: SparkSession, arrived: DataFrame, into: Operational, collation: str | None = None
+    spark: SparkSession, arrived: DataFrame, into: Operational, collation: str | None = None, batch: str | None = None
 ) -> int:
     """Append the distinct arrived patients that are not loaded yet; returns how many.
 
-    The checked rows are written once: the text is parsed once and its true size is known.
+    The checked rows are written once: the text is parsed once and its true size is known.  ``batch`` names what brought them.
     """
-    loaded = into.patients(spark)
-    return _append_numbered(
-        unknown_patients(staged(arrived, "patients-arrived"), loaded, collation),
-        loaded,
-        into.counter(spark, "patients"),
-        lambda rows: append_rows(rows, into.patients_path),
-    )
+    table = into.patients_table(spark)
+    fresh = unknown_patients(staged(arrived, "patients-arrived"), table.read(), collation)
+    return _append_numbered(fresh, table, batch)
 
 
-def append_visits(spark: SparkSession, arrived: DataFrame, into: Operational) -> int:
+def append_visits(spark: SparkSession, arrived: DataFrame, into: Operational, batch: str | None = None) -> int:
     """Append the distinct arrived visits that are not loaded yet; returns how many.
 
-    IDs follow date, then clinic.  One folder per day keeps later comparisons to those days.
+    IDs follow date, then clinic.  Rows can only equal loaded ones of their day: the manifest gives the folders of the feed's days, and
+    no others are listed or read.
     """
-    loaded = into.visits(spark)
+    table = into.visits_table(spark)
     arrived = staged(arrived, "visits-arrived")
-    days = staged(arrived.select(F.to_date("Date").alias(VISIT_DAY)).distinct(), "days")
-    history = loaded_on(loaded, days).select(*VISIT_COLUMNS)
-    fresh = except_loaded(arrived, history, distinct=True)
-
-    def append(rows: DataFrame) -> None:
-        dated = rows.withColumn(VISIT_DAY, F.to_date("Date"))
-        append_rows(dated, into.visits_path, partition_by=[VISIT_DAY])
-
-    return _append_numbered(fresh, loaded, into.counter(spark, "visits"), append)
+    days = [r[0] for r in arrived.select(F.to_date("Date")).distinct().collect()]  # a row a day of the feed
+    history = table.read([*days, None]).select(*VISIT_COLUMNS)
+    return _append_numbered(except_loaded(arrived, history, distinct=True), table, batch)
 
 
 def load_daily_files(
@@ -211,16 +220,32 @@ def load_daily_files(
     day: date | None = None,
     collation: str | None = None,
     on_bad_line: str = "fail",
+    on_redelivered: str = "tell",
 ) -> dict[str, int]:
     """One run: read, check, and append patients, then visits; returns the rows added to each.
 
     With ``day`` only that day's files are read; without it, all files in the folders.  A second
     run adds nothing.  ``collation`` says how patients' texts compare, ``on_bad_line`` what a line does that
     doesn't fit its layout (``sources.feeds.checked``).
+
+    What each file held is kept (``Operational.files``).  A file that comes again with other content is loaded as any other and listed as
+    changed; with ``on_redelivered="fail"`` it ends the load before a row is added.
     """
+    if on_redelivered not in ("tell", "fail"):
+        raise ValueError(f"on_redelivered is tell or fail, not {on_redelivered}")
+    delivered = [delivered_files(spark, folder, kind, day) for kind in ("NewPatients", "Visits")]
+    states = staged(delivery_states(delivered[0].unionByName(delivered[1]), into.files(spark)), "delivered")
+    if on_redelivered == "fail":
+        changed = states.where("State = 'changed'").orderBy("Clinic", "Kind", "File").take(10)
+        if changed:
+            raise Redelivered("; ".join(f"{r.Clinic}/{r.File} has other content than when it was loaded" for r in changed))
     patients = read_feeds(spark, folder, "NewPatients", day, on_bad_line)
     visits = read_feeds(spark, folder, "Visits", day, on_bad_line)
-    return {
+    added = {
         "patients": append_patients(spark, arrived_patients(patients), into, collation),
         "visits": append_visits(spark, arrived_visits(visits, day), into),
     }
+    told = states.where("State <> 'again'")
+    if not told.isEmpty():
+        into.files_table(spark).commit(told, replace=())
+    return added

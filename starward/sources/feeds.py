@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starward.schemas import CLINICS, CONFORMED, FEED_SCHEMAS
+from starward.sources.parts import row_digest
 
 # Fixed value: a day's file is named yyyymmdd plus its kind, e.g. 20100102Visits.csv.
 FILE_DAY = r"/(\d{8})[A-Za-z]+\.csv"
@@ -139,3 +141,31 @@ def read_feeds(
     return {
         c: conform_feed(read_feed(spark, folder, c, kind, day, on_bad_line=on_bad_line), kind) for c in CLINICS
     }
+
+
+def delivered_files(spark: SparkSession, folder: str, kind: str, day: date | None = None) -> DataFrame:
+    """``Clinic, Kind, File, Lines, Digest``: each delivered file with what is in it.
+
+    The digest is a sum over its lines, the header left out, so a file may be of any size and in parts.  A file without a
+    line has no row.
+    """
+
+    def of(clinic: str) -> DataFrame:
+        header = ",".join(FEED_SCHEMAS[(clinic, kind)].names)
+        lines = spark.read.text(feed_path(folder, clinic, kind, day))
+        name = F.regexp_extract("_metadata.file_path", r"([^/]*" + kind + r"\.csv)", 1)
+        rows = lines.select(name.alias("File"), "value").where(F.ltrim(F.col("value"), F.lit("\ufeff")) != header)
+        return rows.groupBy("File").agg(F.count("*").alias("Lines"), row_digest(["value"]).alias("Digest")).select(
+            F.lit(clinic).alias("Clinic"), F.lit(kind).alias("Kind"), "File", "Lines", "Digest"
+        )
+
+    return reduce(DataFrame.unionByName, map(of, CLINICS))
+
+
+def delivery_states(delivered: DataFrame, known: DataFrame) -> DataFrame:
+    """``delivered`` with ``State``: new, again (a known file as it was) or changed (a known name with other content)."""
+    name = ["Clinic", "Kind", "File"]
+    earlier = known.groupBy(*name).agg(F.collect_set(F.struct("Lines", "Digest")).alias("_known"))
+    same = F.array_contains("_known", F.struct("Lines", "Digest"))
+    state = F.when(F.col("_known").isNull(), "new").when(same, "again").otherwise("changed")
+    return delivered.join(earlier, name, "left").withColumn("State", state).drop("_known")

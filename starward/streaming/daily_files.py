@@ -1,13 +1,14 @@
 """Pick up each new daily file once.
 
 A file stream per clinic and kind remembers which files it has read; the three clinics' streams are one
-query, so every micro-batch of a kind runs the body of the batch load once, over all clinics.  The streams
-keep no other state: rows that are loaded already are found by comparing with the table, so a batch that
-is repeated after a failure adds nothing.
+query, so every micro-batch of a kind runs the body of the batch load once, over all clinics.  The commit that
+shows a batch's rows carries the batch's name, so a batch that is repeated after a failure is known without a look at the
+table.  Rows that another stream or the batch load has loaded are found by comparing with the table.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +51,11 @@ def stream_rows(
     return reduce(DataFrame.unionByName, map(rows, CLINICS))
 
 
+def stream_id(spark: SparkSession, checkpoints: str, kind: str) -> str:
+    """The name that a stream's checkpoint was given when it was made; a new checkpoint has another one."""
+    return json.loads(spark.read.text(f"{checkpoints}/{kind}/metadata").first().value)["id"]
+
+
 def load_new_files(
     spark: SparkSession,
     folder: str,
@@ -66,11 +72,16 @@ def load_new_files(
     """
 
     def body(kind: str):
-        def append(batch: DataFrame, _batch_id: int) -> None:
-            if kind == "NewPatients":
-                append_patients(spark, batch.distinct(), into, collation)
+        def append(batch: DataFrame, number: int) -> None:
+            name = f"{kind}/{stream_id(spark, checkpoints, kind)}/{number}"
+            patients = kind == "NewPatients"
+            table = into.patients_table(spark) if patients else into.visits_table(spark)
+            if table.has_batch(name):
+                return  # committed by a run that ended before its checkpoint did
+            if patients:
+                append_patients(spark, batch.distinct(), into, collation, name)
             else:
-                append_visits(spark, batch.distinct(), into)
+                append_visits(spark, batch.distinct(), into, name)
 
         return append
 
