@@ -292,21 +292,19 @@ def _(t):
     spark = t.spark
     folder, into = scratch_path(spark, "feeds"), Operational(scratch_path(spark, "operational"))
     early = c("FileDay") < F.lit("1998-01-01").cast("date")
-    added = {}
+    added, before = {}, 0
     write_feeds(patient_feeds(t), folder, "NewPatients", DAY)
     write_feeds(patient_feeds(t), folder, "NewPatients", date(2010, 1, 3))
     for day, part in ((DAY, early), (date(2010, 1, 3), ~early)):
         write_feeds({clinic: feed.where(part) for clinic, feed in visit_feeds(t).items()}, folder, "Visits", day)
+        before = into.visits(spark).count()
         added[day] = load_daily_files(spark, folder, into, day)["visits"]
     after = into.visits(spark)
-    return reconcile(after.where(c("ID") <= added[DAY]), after, spark.range(added[date(2010, 1, 3)]), "visits")
+    return reconcile(spark.range(before), after, spark.range(added[date(2010, 1, 3)]), "visits")
 
 
-def _warehouse(t, table: str):
-    """The whole warehouse from nothing, and one table of it; the calendar holds the visits' and the shifts' days."""
-    spark = t.spark
-    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
-    sources = {
+def warehouse_sources(t) -> dict:
+    return {
         "clinics": M.clinics(t),
         "doctors": M.doctors(t),
         "doctor_shifts": M.doctor_shifts(t),
@@ -315,7 +313,13 @@ def _warehouse(t, table: str):
         "procedures": M.procedures(t),
         "visits": M.visits(t),
     }
-    staged = stage_sources(spark, sources, warehouse.root)
+
+
+def _warehouse(t, table: str):
+    """The whole warehouse from nothing, and one table of it; the calendar holds the visits' and the shifts' days."""
+    spark = t.spark
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    staged = stage_sources(spark, warehouse_sources(t), warehouse.root)
     load_warehouse(
         warehouse, staged, DAY, datetime(2010, 1, 2, 1), days=M.ALL_DAYS, spine=date_spine(spark, *M.ALL_DAYS)
     )

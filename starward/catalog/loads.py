@@ -78,7 +78,7 @@ _DOCTORS = """
 """
 
 
-def _doctors_before_and_now(t):
+def doctors_before_and_now(t):
     """Since the last load one town's doctors left, one town's came, one town's changed state."""
     now, city = D.dim_doctors_src(M.doctors(t)), c("DoctorCity")
     old = now.where(city != "  NATION_3").select(
@@ -95,7 +95,7 @@ def _doctors_before_and_now(t):
     with_model("SELECT * FROM state", _DOCTORS + _scd1_sql("DoctorKey", D.DOCTOR, "DoctorFullName")),
 )
 def _(t):
-    old, now = _doctors_before_and_now(t)
+    old, now = doctors_before_and_now(t)
     return scd1_sync(
         old, now, "DoctorID", D.DOCTOR, "DoctorKey", name_column="DoctorFullName", unique=True
     )
@@ -112,7 +112,7 @@ def _(t):
 )
 def _(t):
     """Changed doctors keep their keys; only the new ones are numbered."""
-    old, now = _doctors_before_and_now(t)
+    old, now = doctors_before_and_now(t)
     state = scd1_sync(
         old,
         now,

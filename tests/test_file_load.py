@@ -160,3 +160,34 @@ def test_jdbc_split_needs_bounds():
     assert options["numPartitions"] == "8" and options["partitionColumn"] == "ID"
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "Patients", "ID")
+
+
+def test_files_delivered_again_are_told(spark, tmp_path):
+    from starward.plans.file_load import Redelivered
+
+    folder = files.write_day(tmp_path / "in")
+    into = Operational(str(tmp_path / "op"))
+    load_daily_files(spark, folder, into, files.DAY)
+    load_daily_files(spark, folder, into, files.DAY)  # as they were
+    first = {(r.Clinic, r.Kind): (r.Lines, r.State) for r in into.files(spark).collect()}
+    assert first[("Redmond", "Visits")] == (56, "new") and len(first) == 6 and into.files(spark).count() == 6
+    lines = ["9:00,3,1,1,1,5"]
+    files.write(tmp_path / "in" / "Redmond" / "20100102Visits.csv", files.VISIT_HEADS["Redmond"], lines)
+    with pytest.raises(Redelivered, match="Redmond/20100102Visits.csv"):
+        load_daily_files(spark, folder, into, files.DAY, on_redelivered="fail")
+    assert into.visits(spark).count() == 154 and into.files(spark).count() == 6
+    assert load_daily_files(spark, folder, into, files.DAY) == {"patients": 0, "visits": 1}
+    changed = into.files(spark).where("State = 'changed'").collect()
+    assert [(r.Clinic, r.File, r.Lines) for r in changed] == [("Redmond", "20100102Visits.csv", 1)]
+
+
+def test_a_feed_reads_the_folders_of_its_days_only(spark, tmp_path):
+    folder = files.write_day(tmp_path / "in")
+    into = Operational(str(tmp_path / "op"))
+    load_daily_files(spark, folder, into, files.DAY)
+    files.write_day(tmp_path / "in", date(2010, 1, 3))
+    assert load_daily_files(spark, folder, into, date(2010, 1, 3))["visits"] == 154
+    table = into.visits_table(spark)
+    assert [(p.part, p.rows) for p in table.parts()] == [("2010-01-02", 154), ("2010-01-03", 154)]
+    assert all("VisitDay=2010-01-03" in f for f in table.read([date(2010, 1, 3), None]).inputFiles())
+    assert table.high_water == 308 and into.visits(spark).select("ID").distinct().count() == 308

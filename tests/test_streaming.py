@@ -32,3 +32,26 @@ def test_bad_and_undated_input_ends_the_stream(spark, tmp_path):
     files.write(tmp_path / "in" / "Bellevue" / "newVisits.csv", files.VISIT_HEADS["Bellevue"], ["9:00,1,2,3,4.00"])
     with pytest.raises(Exception, match="no day in the file name"):
         load_new_files(spark, folder, into, str(tmp_path / "cp2"), on_bad_line="skip")
+
+
+def test_a_batch_repeated_after_a_failure_is_known_by_its_commit(spark, tmp_path, monkeypatch):
+    from starward.streaming import daily_files as S
+
+    folder = files.write_day(tmp_path / "in")
+    into = Operational(str(tmp_path / "op"))
+    append = S.append_visits
+
+    def append_then_die(*args):
+        append(*args)
+        raise RuntimeError("lost between the commit and the checkpoint")
+
+    monkeypatch.setattr(S, "append_visits", append_then_die)
+    with pytest.raises(Exception, match="lost between"):
+        load_new_files(spark, folder, into, str(tmp_path / "cp"))
+    assert into.visits(spark).count() == 154
+    calls = []
+    monkeypatch.setattr(S, "append_visits", lambda *args: calls.append(args))
+    load_new_files(spark, folder, into, str(tmp_path / "cp"))
+    assert calls == [] and into.visits(spark).count() == 154  # not even compared with the table
+    batches = [r.batch for r in into.visits_table(spark).commits().collect()]
+    assert len(batches) == 1 and batches[0].startswith("Visits/") and batches[0].endswith("/0")
