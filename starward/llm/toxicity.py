@@ -41,6 +41,8 @@ WORD_DOCUMENTS, GRAM_DOCUMENTS = 8, 20
 #: Share of clean documents that scores are calibrated for; the sample's own share depends on its bound.
 CLEAN_SHARE = 0.75
 _ROUNDS, _STEP_WINDOWS, _RATE = 2, 256, 0.01
+#: Steps of a round; few windows are gone through several times.
+_LEAST_STEPS = 60
 #: ASCII letters in lower case, other ASCII characters as spaces, the rest as it is.
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
@@ -77,18 +79,20 @@ def train(texts: list[bytes], toxic: np.ndarray, seed: int = 0) -> Parameters:
 
     def learn(chosen: np.ndarray) -> None:
         weight = np.where(mine[chosen], 1.0, mine[chosen].sum() / max((~mine[chosen]).sum(), 1)).astype(np.float32)
-        order = rng.permutation(len(chosen))
-        for i in range(0, len(order), _STEP_WINDOWS):
-            part = order[i : i + _STEP_WINDOWS]
-            at = chosen[part]
-            ids, mask = word_ids(words.codes, first[at], sizes[at], WINDOW, len(words.distinct))
-            used, local = np.unique(ids, return_inverse=True)
-            used = used[used < len(words.distinct)]
-            _, g = loss_and_gradients(p, features.take(used), local.reshape(ids.shape), mask, y[text[at]], weight[part])
-            for name, allowed in taught.items():
-                rows, d = g[name]
-                g[name] = rows[allowed[rows]], d[allowed[rows]]
-            adam.apply(p, g)
+        for _ in range(max(1, _LEAST_STEPS * _STEP_WINDOWS // max(len(chosen), 1))):
+            order = rng.permutation(len(chosen))
+            for i in range(0, len(order), _STEP_WINDOWS):
+                step(chosen[order[i : i + _STEP_WINDOWS]], weight[order[i : i + _STEP_WINDOWS]])
+
+    def step(at: np.ndarray, weight: np.ndarray) -> None:
+        ids, mask = word_ids(words.codes, first[at], sizes[at], WINDOW, len(words.distinct))
+        used, local = np.unique(ids, return_inverse=True)
+        used = used[used < len(words.distinct)]
+        _, g = loss_and_gradients(p, features.take(used), local.reshape(ids.shape), mask, y[text[at]], weight)
+        for name, allowed in taught.items():
+            rows, d = g[name]
+            g[name] = rows[allowed[rows]], d[allowed[rows]]
+        adam.apply(p, g)
 
     def outputs() -> np.ndarray:
         return logits(p, inputs_of(p, features), words.codes, first, sizes, WINDOW)
@@ -186,6 +190,8 @@ def trained(sample: DataFrame) -> Parameters:
         yield pa.RecordBatch.from_arrays([pa.array([packed.getvalue()])], ["p"])
 
     row = sample.repartition(1).mapInArrow(learn, "p binary").first()
+    if row is None:  # Spark runs no task over no rows
+        return train([], np.zeros(0, np.float32))
     return dict(np.load(io.BytesIO(bytes(row.p))))
 
 
