@@ -12,6 +12,8 @@ from starward.catalog.files import DAY, warehouse_sources, write_feeds
 from starward.catalog.loads import doctors_before_and_now, patient_feeds, visit_feeds
 from starward.catalog.model import with_model
 from starward.catalog.registry import query
+from starward.operators.history import scd2_merge
+from starward.operators.lookup import lookup_key
 from starward.operators.quality import reference_violations
 from starward.operators.remap import key_changes, remapped
 from starward.operators.sync import scd1_sync
@@ -151,6 +153,66 @@ def _(t):
     return read_back.groupBy("ID", "Date", "DoctorID").agg(F.count("*").alias("n"))
 
 
+#: How the clinics' database server compares texts: without case and without blanks at the end.
+_SERVER = "UTF8_LCASE_RTRIM"
+
+
+@query(
+    "w2_collated",
+    with_model(
+        "SELECT * FROM old WHERE DoctorCity <> '  NATION_9' UNION ALL SELECT (SELECT max(DoctorKey) FROM old) + row_number() OVER (ORDER BY DoctorID), "
+        "* FROM doctors_src WHERE DoctorCity = '  NATION_9'",
+        """
+  old AS (SELECT DoctorID + 1 AS DoctorKey, DoctorID, CASE WHEN DoctorCity = '  NATION_5' THEN upper(DoctorFullName) || '  ' ELSE DoctorFullName END
+      AS DoctorFullName, DoctorEmailAddress, DoctorCity, CASE WHEN DoctorCity = '  NATION_9' THEN 'OR' ELSE DoctorState END AS DoctorState, DoctorZip
+    FROM doctors_src)""",
+    ),
+)
+def _(t):
+    """Names that differ in case and end blanks only are no change; the doctors of one town changed their state."""
+    now, city = D.dim_doctors_src(M.doctors(t)), c("DoctorCity")
+    name = F.when(city == "  NATION_5", F.concat(F.upper("DoctorFullName"), F.lit("  "))).otherwise(c("DoctorFullName"))
+    state = F.when(city == "  NATION_9", "OR").otherwise(c("DoctorState"))
+    old = now.withColumns({"DoctorKey": c("DoctorID") + 1, "DoctorFullName": name, "DoctorState": state})
+    return scd1_sync(
+        old.select("DoctorKey", *D.DOCTOR), now, "DoctorID", D.DOCTOR, "DoctorKey", name_column="DoctorFullName", unique=True, collation=_SERVER
+    )
+
+
+@query(
+    "w4_collated",
+    with_model(
+        "SELECT PatientID + 1 AS PatientKey, PatientID, PatientFullName, upper(PatientCity) || ' ' AS PatientCity, PatientState, PatientZipCode, "
+        "'2009-07-01' AS StartDate, CASE WHEN PatientState = 'ASIA' THEN '2010-01-02' END AS EndDate, CAST(PatientState <> 'ASIA' AS BIGINT) AS IsCurrent "
+        "FROM patients_src UNION ALL SELECT (SELECT max(PatientID) + 1 FROM patients_src) + row_number() OVER (ORDER BY PatientID), PatientID, PatientFullName, "
+        "'new ' || PatientCity, PatientState, PatientZipCode, '2010-01-02', NULL, 1 FROM patients_src WHERE PatientState = 'ASIA'"
+    ),
+)
+def _(t):
+    """Cities told in capitals with a blank behind are the same cities; one state's patients did move."""
+    now, city = D.dim_patients_src(M.patients(t)), c("PatientCity")
+    old = now.select(
+        (c("PatientID") + 1).alias("PatientKey"), "PatientID", "PatientFullName", F.concat(F.upper(city), F.lit(" ")).alias("PatientCity"),
+        "PatientState", "PatientZipCode", F.lit("2009-07-01").cast("date").alias("StartDate"), F.lit(None).cast("date").alias("EndDate"), F.lit(1).alias("IsCurrent"),
+    )
+    moved = now.withColumn("PatientCity", F.when(c("PatientState") == "ASIA", F.concat(F.lit("new "), city)).otherwise(city))
+    return scd2_merge(old, moved, D.PATIENT, "PatientKey", DAY, unique=True, collation=_SERVER)
+
+
+@query(
+    "j1_collated",
+    "SELECT c_custkey, n_nationkey AS NationKey FROM customer JOIN nation ON lower(rtrim(CASE WHEN c_custkey % 2 = 0 THEN lower(n_name) || '  ' ELSE upper(n_name) END)) "
+    "= lower(rtrim(n_name)) WHERE c_nationkey = n_nationkey AND c_custkey % 7 <> 0 UNION ALL SELECT c_custkey, 0 FROM customer WHERE c_custkey % 7 = 0",
+)
+def _(t):
+    """Nations looked up by names written in another case, with blanks behind or with one in front, which counts."""
+    named = t.customer.join(t.nation, c("c_nationkey") == c("n_nationkey")).select("c_custkey", "n_name")
+    odd = F.when(c("c_custkey") % 7 == 0, F.concat(F.lit(" "), "n_name")).when(c("c_custkey") % 2 == 0, F.concat(F.lower("n_name"), F.lit("  "))).otherwise(F.upper("n_name"))
+    dim = t.nation.select("n_name", c("n_nationkey").alias("NationKey"))
+    rows = named.select("c_custkey", odd.alias("written"))
+    return lookup_key(rows, dim, c("written"), "n_name", ["NationKey"], unknown="member", collation=_SERVER).select("c_custkey", "NationKey")
+
+
 def _loaded(t, runs, **how) -> Warehouse:
     """A warehouse after ``runs``, each the sources of a day."""
     warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starward.operators.copies import expand_copies
 from starward.operators.keys import assign_keys, highest_key
 from starward.operators.matching import all_equal
+from starward.operators.setops import plain_text, under_collation
 from starward.sources.scratch import staged
 
 _SRC, _CUR = "_src", "_cur"
@@ -28,6 +29,7 @@ def scd2_merge(
     start: int | Column | None = None,
     order_by: Sequence[str | Column] | None = None,
     unique: bool = False,
+    collation: str | None = None,
 ) -> DataFrame:
     """The dimension after merging ``source`` on ``as_of``.
 
@@ -41,7 +43,12 @@ def scd2_merge(
     History is never shuffled: only current rows can match.  One shuffle over source and current
     rows, combined before it, finds the rows that differ.  Those are written once; usually they
     are few, Spark broadcasts them by the written size, and the dimension is only read again.
+
+    Under a ``collation`` rows that it holds equal match; each keeps its own texts.
     """
+    if collation is not None:
+        sides = under_collation(dim, collation), under_collation(source, collation)
+        return plain_text(scd2_merge(*sides, columns, key, as_of, reclose, start, order_by, unique), dim)
     columns = list(columns)
     layout = [key, *columns, START, END, CURRENT]
     today = F.lit(as_of)

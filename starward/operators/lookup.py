@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starward.functions.text import collated
+
 _ID, _SLOT = "_lookup_id", "_slot"
 UNKNOWN_KEY = 0
 #: NULL IDs are spread over this many hash slots.
@@ -20,6 +22,7 @@ def lookup_key(
     dim_id: str,
     take: Sequence[str],
     unknown: str = "drop",
+    collation: str | None = None,
 ) -> DataFrame:
     """Join a dimension and take ``take`` (the key first) from it.
 
@@ -29,8 +32,13 @@ def lookup_key(
 
     Under ``"member"`` NULL IDs would all hash to one partition although they can match nothing.
     A second join column spreads them.
+
+    Texts compare byte by byte, or under a ``collation``.
     """
-    side = dim.select(F.col(dim_id).alias(_ID), *take)
+    known = F.col(dim_id)
+    if collation is not None:
+        on, known = collated(on, collation), collated(known, collation)
+    side = dim.select(known.alias(_ID), *take)
     if unknown == "drop":
         return rows.join(side, on == F.col(_ID), "inner").drop(_ID)
     if unknown != "member":

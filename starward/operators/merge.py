@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from starward.operators.copies import expand_copies
 from starward.operators.matching import all_equal
+from starward.operators.setops import under_collation
 
 _SRC, _TGT, _STATE, _INS, _DEL = "_src", "_tgt", "_state", "_ins", "_del"
 
@@ -60,7 +61,7 @@ def change_counts(changes: DataFrame) -> dict[str, int]:
 
 
 def fact_merge(
-    fact: DataFrame, source: DataFrame, columns: Sequence[str], unique: bool = False
+    fact: DataFrame, source: DataFrame, columns: Sequence[str], unique: bool = False, collation: str | None = None
 ) -> FactMerge:
     """Match ``fact`` and ``source`` on every column.
 
@@ -71,9 +72,11 @@ def fact_merge(
     spread by whole-row hash, gives the state and both deltas.
 
     ``unique`` says that rows hardly ever occur twice, as in a source that was grouped by its
-    keys.  The result is the same; copies are then unfolded where they were counted.
+    keys.  The result is the same; copies are then unfolded where they were counted.  Rows that a ``collation`` holds
+    equal match, and one of them stands for all.
     """
     columns = list(columns)
+    fact, source = under_collation(fact, collation), under_collation(source, collation)
     tagged = source.select(*columns, F.lit(1).alias(_SRC), F.lit(0).alias(_TGT)).unionByName(
         fact.select(*columns, F.lit(0).alias(_SRC), F.lit(1).alias(_TGT))
     )

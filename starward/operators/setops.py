@@ -25,6 +25,12 @@ def under_collation(df: DataFrame, collation: str | None) -> DataFrame:
     )
 
 
+def plain_text(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Text columns with the plain types they have in ``like``; a collation changes how texts compare and never the texts."""
+    types = {f.name: f.dataType for f in like.schema}
+    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
+
+
 def union_distinct(*frames: DataFrame) -> DataFrame:
     """Distinct union by column name.  One ``distinct`` at the end is one shuffle for any number."""
     return reduce(DataFrame.unionByName, frames).distinct()

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from starward.functions.text import marked_deleted
 from starward.operators.keys import assign_keys, highest_key
-from starward.operators.setops import IN_SOURCE, change_set
+from starward.operators.setops import IN_SOURCE, change_set, plain_text, under_collation
 from starward.sources.scratch import staged
 
 _CHANGED = "_changed"
 
 
-def scd1_actions(dim: DataFrame, source: DataFrame, natural_id: str, columns: Sequence[str], key: str) -> DataFrame:
+def scd1_actions(
+    dim: DataFrame, source: DataFrame, natural_id: str, columns: Sequence[str], key: str, collation: str | None = None
+) -> DataFrame:
     """The IDs that differ, written once, and whether the source still has them; none if both sides agree."""
+    dim, source = under_collation(dim, collation), under_collation(source, collation)
     return staged(
         change_set(source, dim, columns)
         .where(F.col(natural_id).isNotNull())
@@ -40,6 +43,7 @@ def scd1_sync(
     order_by: Sequence[str | Column] | None = None,
     unique: bool = False,
     actions: DataFrame | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
     """The dimension after one sync; ``actions`` are those of ``scd1_actions`` if they are known.
 
@@ -55,7 +59,15 @@ def scd1_sync(
     One shuffle over source and dimension finds what differs.  The IDs that differ are written
     once; usually they are few, and Spark broadcasts them by the written size, so neither table
     is shuffled again.
+
+    Under a ``collation`` texts that it holds equal are no change, and IDs that it holds equal are one; the rows keep their own texts.
     """
+    if collation is not None:
+        compared = scd1_sync(
+            under_collation(dim, collation), under_collation(source, collation), natural_id, columns, key, name_column,
+            on_delete, on_update, protect_keys, start, order_by, unique, actions,
+        )
+        return plain_text(compared, dim)
     if on_delete not in ("flag", "drop"):
         raise ValueError(f"on_delete: {on_delete}")
     if on_update not in ("rekey", "keep"):

@@ -13,15 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse.
+    """The folder named by ``spark.checkpoint.dir``, which a cluster's executors share.
 
-    Both are shared on a cluster; a folder of one machine is never taken.
+    Where it is unset, a session on one machine takes a folder below its warehouse; so does a cluster whose warehouse is not on the
+    driver's own disk.  Any other has to name one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
     warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
-    if not warehouse:
+    own_disk = warehouse is not None and (warehouse.startswith("file:") or "://" not in warehouse)
+    if warehouse is None or (own_disk and not spark.sparkContext.master.startswith("local")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{warehouse}/_scratch"
 
