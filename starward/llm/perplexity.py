@@ -32,7 +32,7 @@ MODEL_ENTRIES = 1 << 24
 LEAST_COUNT = 2
 #: Band around a language's median log perplexity: so many quartile ranges each way.
 BAND_RANGES = 6.0
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 START, END = "\x02", "\x03"
 _SYMBOLS = np.zeros(256, bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True

@@ -16,6 +16,8 @@ from starward.sources.scratch import staged
 
 SHINGLE_WORDS = 3
 SEED = 42
+#: Text bytes that one step works on.
+BLOCK = 2 << 20
 #: Shingles whose bits are counted in one step.
 _STEP = 1 << 16
 
@@ -56,7 +58,7 @@ def fingerprint(text: Column, words: int = SHINGLE_WORDS) -> Column:
 
     @F.arrow_udf("bigint")
     def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for (block,) in size_blocks((b,) for b in batches):
+        for (block,) in size_blocks(((b,) for b in batches), BLOCK):
             prints = np.array([fingerprint_of(t, words) for t in texts_of(block)], np.uint64)
             yield pa.array(prints.view(np.int64))
 

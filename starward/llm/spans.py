@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from starward.llm.common import fresh, size_blocks, text_column, texts_of
 from starward.sources.scratch import staged
 
+#: Text bytes that one step works on.
+BLOCK = 2 << 20
 #: Words that a span needs, so that chance repeats don't count.  A span is as many sentences as it takes.
 SPAN_WORDS = 12
 #: Sentences of more words are cut behind each word whose hash is the smallest of its own and so many to either side, which
@@ -135,7 +137,7 @@ def _hashes(text: Column) -> Column:
 
     @F.arrow_udf("struct<own:boolean,s:array<struct<h1:bigint,h2:int>>>")
     def hashed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for (block,) in size_blocks((b,) for b in batches):
+        for (block,) in size_blocks(((b,) for b in batches), BLOCK):
             ones, twos, counts, own = [], [], [], []
             for t in texts_of(block):
                 _, first, _, one, two = spans(t)
@@ -163,7 +165,7 @@ def _cleaned(text: Column, hashes: Column, clean: Column) -> Column:
 
     @F.arrow_udf("struct<text:string,n_sentences:bigint,n_removed:bigint>")
     def cleaned(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for block, seen, known_clean in size_blocks(batches):
+        for block, seen, known_clean in size_blocks(batches, BLOCK):
             found = []
             for t, s, whole in zip(texts_of(block), seen, known_clean.to_pylist(), strict=True):
                 if whole:
