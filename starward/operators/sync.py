@@ -29,6 +29,25 @@ def scd1_actions(
     )
 
 
+def scd1_changes_anything(
+    dim: DataFrame,
+    actions: DataFrame,
+    natural_id: str,
+    key: str,
+    name_column: str | None = None,
+    on_delete: str = "flag",
+    protect_keys: Sequence[int] = (),
+) -> bool:
+    """Whether ``actions`` alter the dimension: a member that is marked as deleted already stays as it is."""
+    if not actions.where(F.col(_CHANGED) == 1).isEmpty():
+        return True
+    gone = dim.join(actions, natural_id, "left_semi").where(~F.col(key).isin(*protect_keys))
+    if on_delete == "flag":
+        name = F.col(name_column)
+        gone = gone.where(~name.eqNullSafe(marked_deleted(name)))
+    return not gone.isEmpty()
+
+
 def scd1_sync(
     dim: DataFrame,
     source: DataFrame,

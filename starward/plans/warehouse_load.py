@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from starward.operators.merge import applied, change_counts, fact_merge
 from starward.operators.quality import reference_violations, split_by_reference, warehouse_violations
-from starward.operators.sync import scd1_actions, scd1_sync
+from starward.operators.sync import scd1_actions, scd1_changes_anything, scd1_sync
 from starward.plans import dimensions as D
 from starward.plans.facts import SHIFT_FACT, VISIT_FACT, fact_shifts_src, fact_visits_src
 from starward.plans.together import results_of, together
@@ -23,7 +23,7 @@ from starward.sources.generated import date_spine
 from starward.sources.history import HistoryTable
 from starward.sources.ledger import LossLedger, append_counts, read_counts
 from starward.sources.parts import PartTable, digests
-from starward.sources.runlog import append_event
+from starward.sources.runlog import append_events
 from starward.sources.scratch import staged
 from starward.sources.snapshots import SnapshotTable
 from starward.sources.tables import append_rows, read_table_or_empty, stage_table
@@ -75,6 +75,14 @@ class Warehouse:
         schema = T.StructType([*WAREHOUSE[name].fields, T.StructField("reason", T.StringType())])
         return read_table_or_empty(self.spark, f"{self.root}/rejects/{name}", schema)
 
+    def retire(self, keep: int = 1) -> int:
+        """Delete what only versions before each table's last ``keep`` need; returns the folders deleted.
+
+        The growing history of patients has no older versions.  Readers of older versions must have ended.
+        """
+        tables = [self.table(n) for n in WAREHOUSE if n not in ("etl_log", "dim_patients")]
+        return sum(t.retire(keep) for t in tables)
+
     def log(self) -> DataFrame:
         return read_table_or_empty(self.spark, self.log_path, WAREHOUSE["etl_log"])
 
@@ -129,7 +137,8 @@ def sync_type1(
     """One type 1 sync, committed if anything differs.  New keys start above every key the table ever had."""
     dim = table.read() if dim is None else dim
     actions = scd1_actions(dim, source, columns[0], columns, key)
-    if table.version and actions.isEmpty():
+    effect = {k: v for k, v in how.items() if k in ("name_column", "on_delete", "protect_keys")}
+    if table.version and not scd1_changes_anything(dim, actions, columns[0], key, **effect):
         return table.read()
     state = scd1_sync(dim, source, columns[0], columns, key, start=table.high_water, actions=actions, **how)
     return table.commit(state, key=key, check=check)
@@ -303,7 +312,7 @@ def _run_and_log(
     w: Warehouse, steps: Mapping[str, Callable[[], Any]], now: datetime, told: Mapping[str, str]
 ) -> None:
     """Run independent steps together, log each in its order, then raise the first failure."""
-    failure = None
+    failure, events = None, []
     for name, result in together(w.spark, steps).items():
         if isinstance(result, Exception):
             failure, note = failure or result, str(result)
@@ -313,6 +322,7 @@ def _run_and_log(
                 note += f": {result['inserted']} inserted, {result['deleted']} deleted"
             if name in told:
                 note += f"; broken rules: {told[name]}"
-        append_event(w.spark, w.log_path, f"sync {name}", note, now)
+        events.append((f"sync {name}", note))
+    append_events(w.spark, w.log_path, events, now)
     if failure:
         raise failure

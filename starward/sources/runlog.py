@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starward.functions.clock import long_date, short_time
@@ -27,9 +28,16 @@ def log_event(log: DataFrame, action: str, message: str, at: datetime) -> DataFr
     return log.unionByName(next_event(log, action, message, at))
 
 
-def append_event(spark, path: str, action: str, message: str, at: datetime) -> None:
+def append_event(spark: SparkSession, path: str, action: str, message: str, at: datetime) -> None:
+    append_events(spark, path, [(action, message)], at)
+
+
+def append_events(spark: SparkSession, path: str, events: Sequence[tuple[str, str]], at: datetime) -> None:
+    """Append several events, numbered in their order: one look at the log for the next number and one file for all."""
     log = read_table_or_empty(spark, path, WAREHOUSE["etl_log"])
-    append_rows(next_event(log, action, message, at), path)
+    top = log.agg(F.max("ETLLogID")).first()[0] or 0
+    rows = [(top + 1 + i, at, action, message) for i, (action, message) in enumerate(events)]
+    append_rows(spark.createDataFrame(rows, WAREHOUSE["etl_log"]).coalesce(1), path)
 
 
 def log_view(log: DataFrame) -> DataFrame:

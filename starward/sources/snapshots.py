@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starward.sources.scratch import path_exists
+from starward.sources.scratch import delete_path, path_exists
 
 COMMIT_SCHEMA = "version bigint, high_water bigint"
 
@@ -86,6 +86,13 @@ class SnapshotTable:
         ).parquet(f"{self.root}/commits")
         return self.read(version)
 
+    def retire(self, keep: int = 1) -> int:
+        """Delete the folders of versions before the last ``keep``; returns how many.  Their readers must have ended."""
+        old = [v for v in range(1, self.version - keep + 1) if path_exists(self.spark, self._folder(v))]
+        for version in old:
+            delete_path(self.spark, self._folder(version))
+        return len(old)
+
 
 def commit_snapshot(df: DataFrame, target: SnapshotTable, key: str | None = None) -> DataFrame:
     return target.commit(df, key=key)

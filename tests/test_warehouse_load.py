@@ -275,3 +275,81 @@ def test_grouping_uses_the_patient_shuffle(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 4
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def data_files(folder):
+    return sorted(str(p.relative_to(folder)) for p in folder.rglob("*.parquet"))
+
+
+def test_a_run_without_changes_leaves_every_table_as_it_was(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    load(spark, w)
+    tables = [n for n in WAREHOUSE if n != "etl_log"]
+    before = {n: data_files(tmp_path / "w" / n) for n in tables}
+    load(spark, w)
+    assert {n: data_files(tmp_path / "w" / n) for n in tables} == before
+    assert w.log().count() == 16 and len(data_files(tmp_path / "w" / "etl_log")) == 4  # one file for each group of steps
+
+
+def test_a_changed_month_is_the_only_one_written(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    visits = [(i, datetime(2010, 1 + i % 4, 2, 9), 100, 1, 1, 1, Decimal(1)) for i in range(1, 13)]
+    load(spark, w, sources=sources(spark, visits=visits))
+    before = {p.part: p.folder for p in w.table("fact_visits").parts()}
+    assert list(before) == ["201001", "201002", "201003", "201004"]
+    changed = [v for v in visits if v[0] != 5] + [(20, datetime(2010, 2, 3, 9), 100, 1, 1, 2, Decimal(1))]
+    load(spark, w, sources=sources(spark, visits=changed))
+    after = {p.part: p.folder for p in w.table("fact_visits").parts()}
+    assert [p for p in after if after[p] != before[p]] == ["201002"]
+    assert sorted(r.VisitKey for r in w.read("fact_visits").collect()) == [1, 2, 3, 4, 6, 7, 8, 9, 10, 11, 12, 20]
+    assert w.retire() == 1 and w.read("fact_visits").count() == 12
+
+
+def test_the_run_counts_what_it_reads_drops_and_adds(spark, loaded):
+    counts = {(r.table_name, r.part): r.n_rows for r in loaded.counts().where(F.col("run_at") == F.lit(NOW)).collect()}
+    visits = {part: n for (name, part), n in counts.items() if name == "fact_visits"}
+    lost = {part.removeprefix("dropped by "): n for part, n in visits.items() if part.startswith("dropped")}
+    assert lost == {"dim_dates": 1, "dim_clinics": 1, "dim_procedures": 0, "dim_doctors": 1, "dim_patients": 0} and visits["read"] == 5
+    from starward.sources.ledger import balances
+
+    assert all(r.balanced for r in balances(loaded.counts()).collect())
+
+
+def test_a_fact_without_its_member_is_refused_told_or_set_aside(spark, loaded, tmp_path):
+    from starward.operators.quality import split_by_reference
+    from starward.plans.facts import VISIT_FACT
+    from starward.plans.warehouse_load import Violation, guard, merge_facts
+
+    dims = {n: loaded.read(n) for n in WAREHOUSE if n.startswith("dim_")}
+    good = loaded.table("fact_visits").read(stored=True)
+    bad = good.withColumn("DoctorKey", F.lit(77).cast("bigint")).withColumn("VisitKey", F.col("VisitKey") + 100)
+    both = good.unionByName(bad.withColumn("ClinicKey", F.when(F.col("VisitKey") == 101, 99).otherwise(F.col("ClinicKey"))))
+    w, told = Warehouse(spark, str(tmp_path / "w")), {}
+    table = w.table("fact_visits")
+    with pytest.raises(Violation, match="ClinicKey not in dim_clinics: 1 rows; DoctorKey not in dim_doctors: 2 rows"):
+        merge_facts(table, both, VISIT_FACT, check=guard("fact_visits", "block", told, lambda: dims))
+    assert table.version == 0 and told == {}
+    kept, rejected = split_by_reference("fact_visits", both, dims)
+    assert rows(kept) == rows(good)
+    assert {r.VisitKey: r.reason for r in rejected.collect()} == {
+        101: "ClinicKey not in dim_clinics; DoctorKey not in dim_doctors",
+        102: "DoctorKey not in dim_doctors",
+    }
+    merge_facts(table, both, VISIT_FACT, check=guard("fact_visits", "report", told, lambda: dims))
+    assert table.rows() == 4 and "DoctorKey not in dim_doctors: 2 rows" in told["fact_visits"]
+
+
+def test_rejects_are_kept_with_their_reason(spark, tmp_path, monkeypatch):
+    from starward.plans import warehouse_load as W
+
+    source = W.fact_visits_src
+    monkeypatch.setattr(W, "fact_visits_src", lambda *a, **k: source(*a, **k).withColumn("DoctorKey", F.col("DoctorKey") * 10))
+    w = Warehouse(spark, str(tmp_path / "w"))
+    load(spark, w, on_violation="reject")
+    assert w.read("fact_visits").count() == 0 and w.read("fact_doctor_shifts").count() == 2
+    assert sorted((r.VisitKey, r.reason) for r in w.rejects("fact_visits").collect()) == [
+        (1, "DoctorKey not in dim_doctors"),
+        (2, "DoctorKey not in dim_doctors"),
+    ]
+    counts = {r.part: r.n_rows for r in w.counts().where("table_name = 'fact_visits'").collect()}
+    assert counts["rejected"] == 2 and counts["after"] == 0
