@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starward.session import tune
+from starward.sources.scratch import bytes_below
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -48,7 +49,7 @@ def query(name: str, sql: str | None = None):
 
     def register(fn: Callable[[Tables], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return plain(fn(Tables(tune(spark), folder)))
+            return plain(fn(Tables(tune(spark, bytes_below(spark, folder)), folder)))
 
         run.__name__, run.__doc__ = name, fn.__doc__
         assert name not in QUERIES, name

@@ -21,6 +21,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Parquet is smaller on disk than in memory; broadcast decisions must count the latter.
     "spark.sql.sources.fileCompressionFactor": "3.0",
+    # A task of a merge holds its part of both tables in several aggregates and sorts at once.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "32m",
 }
 
 MB = 1024 * 1024
@@ -29,12 +32,24 @@ TARGET_PARTITION_BYTES = 256 * MB
 #: get too small to fetch well, so partitions grow instead; sorts and aggregates of that size spill.
 MAX_PARTITIONS = 50_000
 MAX_SCAN_TASKS = 100_000
+#: A shuffle over so many bytes of input starts with one more partition.
+INPUT_PER_PARTITION = 8 * MB
+#: Beyond this many, map tasks report average block sizes only, and adaptive execution is blind.
+MAX_FIRST_PARTITIONS = 2_000
+FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to a session that somebody else built."""
+def first_partitions(input_bytes: int, least: int) -> int:
+    """Partitions that a shuffle starts with, so that a task's share doesn't grow with the input; adaptive execution joins small ones."""
+    return max(least, min(ceil(input_bytes / INPUT_PER_PARTITION), MAX_FIRST_PARTITIONS))
+
+
+def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Apply the settings above to a session that somebody else built, and size its shuffles for so much input."""
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(FIRST_PARTITIONS, str(first_partitions(input_bytes, least)))
     return spark
 
 

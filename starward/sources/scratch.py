@@ -45,6 +45,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder, on whatever file system the path names; 0 if it isn't there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(hadoop_path).getLength() if files.exists(hadoop_path) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a file or folder, on whatever file system the path names."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

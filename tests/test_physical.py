@@ -8,7 +8,7 @@ from starward.operators.copies import expand_copies
 from starward.operators.merge import change_counts, fact_merge
 from starward.operators.setops import change_set
 from starward.operators.sync import scd1_sync
-from starward.session import scan_split, shuffle_partitions
+from starward.session import FIRST_PARTITIONS, first_partitions, scan_split, shuffle_partitions, tune
 
 TABLES = "/root/testdata/sf0.001"
 
@@ -118,3 +118,26 @@ def test_sizing():
     assert shuffle_partitions(100 * 10**12, cores=8000) == 50_000
     assert scan_split(10**9) == 128 * 2**20
     assert scan_split(100 * 10**12) == 10**9
+
+
+def test_shuffles_start_with_partitions_for_the_input(spark):
+    """A task's share of a shuffle, and with it its memory, doesn't grow with the input."""
+    gb = 1024**3
+    assert (first_partitions(0, 200), first_partitions(gb, 4), first_partitions(6 * gb, 4), first_partitions(100 * gb, 4)) == (200, 128, 768, 2000)
+    try:
+        tune(spark, gb)
+        assert ", 128)" in plan_of(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    finally:
+        tune(spark)
+    assert spark.conf.get(FIRST_PARTITIONS) == "4"
+
+
+def test_a_query_sizes_its_shuffles_for_its_folder(spark, tmp_path):
+    (tmp_path / "large.parquet").write_bytes(bytes(50 * 1024**2))
+    spark.range(20).selectExpr("id s_suppkey", "concat('n', id) s_name", "double(id) s_acctbal").write.parquet(str(tmp_path / "supplier.parquet"))
+    try:
+        assert QUERIES["s4_read_table"](spark, str(tmp_path)).count() == 20
+        assert spark.conf.get(FIRST_PARTITIONS) == "7"
+    finally:
+        tune(spark)
