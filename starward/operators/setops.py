@@ -41,22 +41,20 @@ def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.subtract(right.select(*left.columns))
 
 
-def except_loaded(new: DataFrame, loaded: DataFrame, distinct: bool = False) -> DataFrame:
+def except_loaded(new: DataFrame, loaded: DataFrame, distinct: bool = False, loaded_distinct: bool = False) -> DataFrame:
     """``new EXCEPT loaded`` where ``new`` is a day's feed and ``loaded`` a table's whole history.
 
     A plain anti-join must build or shuffle the history.  Here the history is first reduced to the
     rows that occur in the feed: in that semi-join the feed is the side Spark may broadcast, by
     its own size check, and the history is only read.  A feed too large for that shuffles both.
-    ``distinct`` says that ``new`` holds no duplicates already.
+    ``distinct`` says that ``new`` holds no duplicates already, ``loaded_distinct`` that ``loaded`` hardly holds any: what was
+    seen then goes into the second join as the first one left it, without a shuffle of its own.
     """
     fresh = new if distinct else new.distinct()
     same = all_equal("loaded", "fresh", new.columns, nulls_match=True)
-    seen = (
-        loaded.select(*new.columns)
-        .alias("loaded")
-        .join(fresh.alias("fresh"), same, "left_semi")
-        .distinct()
-    )
+    seen = loaded.select(*new.columns).alias("loaded").join(fresh.alias("fresh"), same, "left_semi")
+    if not loaded_distinct:
+        seen = seen.distinct()
     return fresh.alias("fresh").join(seen.alias("loaded"), same, "left_anti")
 
 

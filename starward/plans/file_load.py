@@ -71,15 +71,17 @@ def new_patients(
     return unknown_patients(staged(arrived_patients(feeds), "patients-arrived"), patients, collation)
 
 
-def unknown_patients(arrived: DataFrame, patients: DataFrame, collation: str | None = None) -> DataFrame:
-    """Distinct arrived patients that ``patients`` lacks.
+def unknown_patients(
+    arrived: DataFrame, patients: DataFrame, collation: str | None = None, loaded_distinct: bool = False
+) -> DataFrame:
+    """Distinct arrived patients that ``patients`` lacks; ``loaded_distinct`` says that those hold hardly any duplicates.
 
     The comparison looks at ``arrived`` twice, so it should be a written table: the text is then parsed
     once, and its true size is known.
     """
     loaded = under_collation(patients.select(*PATIENT_COLUMNS), collation)
     if collation is None:
-        return except_loaded(arrived, loaded, distinct=True)
+        return except_loaded(arrived, loaded, distinct=True, loaded_distinct=loaded_distinct)
     fresh = except_loaded(under_collation(arrived, collation).distinct(), loaded, distinct=True)
     plain = OPERATIONAL["patients"]
     return fresh.select(*[F.col(c).cast(plain[c].dataType) for c in PATIENT_COLUMNS])
@@ -179,10 +181,15 @@ def _append_numbered(fresh: DataFrame, table: PartTable, batch: str | None) -> i
 
     The rows are distinct already.  The commit that shows them also keeps the highest ID, so a load that dies before it has given out
     none.
+
+    Numbering reads the rows twice, for the bounds of its ranges and to sort them.  Where there is a history to compare with, they are
+    written first, so that the comparison runs once.
     """
-    numbered = assign_keys(fresh, "ID", order_by=fresh.columns, start=table.high_water, unique=True)
-    if numbered.isEmpty():
+    if table.version:
+        fresh = staged(fresh, "fresh")
+    if fresh.isEmpty():
         return 0
+    numbered = assign_keys(fresh, "ID", order_by=fresh.columns, start=table.high_water, unique=True)
     if table.by is not None:
         numbered = numbered.withColumn(VISIT_DAY, F.to_date("Date"))
     return sum(p.rows for p in table.commit(numbered, replace=(), key="ID", batch=batch))
@@ -196,7 +203,7 @@ def append_patients(
     The checked rows are written once: the text is parsed once and its true size is known.  ``batch`` names what brought them.
     """
     table = into.patients_table(spark)
-    fresh = unknown_patients(staged(arrived, "patients-arrived"), table.read(), collation)
+    fresh = unknown_patients(staged(arrived, "patients-arrived"), table.read(), collation, loaded_distinct=True)
     return _append_numbered(fresh, table, batch)
 
 
@@ -210,7 +217,7 @@ def append_visits(spark: SparkSession, arrived: DataFrame, into: Operational, ba
     arrived = staged(arrived, "visits-arrived")
     days = [r[0] for r in arrived.select(F.to_date("Date")).distinct().collect()]  # a row a day of the feed
     history = table.read([*days, None]).select(*VISIT_COLUMNS)
-    return _append_numbered(except_loaded(arrived, history, distinct=True), table, batch)
+    return _append_numbered(except_loaded(arrived, history, distinct=True, loaded_distinct=True), table, batch)
 
 
 def load_daily_files(

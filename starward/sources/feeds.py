@@ -59,9 +59,11 @@ def unfit_line(columns: list[str]) -> Column:
     return F.concat(F.col(BAD_LINE), F.lit(", first field "), F.coalesce(F.col(columns[0]), F.lit("missing")))
 
 
-def checked(rows: DataFrame, columns: list[str], on_bad_line: str = "fail") -> DataFrame:
+def checked(rows: DataFrame, columns: list[str], on_bad_line: str = "fail", named: date | None = None) -> DataFrame:
     """Rows as parsed -> the layout's columns and ``FileDay``; batch and stream share this.
 
+    ``named`` is the day in the names of all files, if only such files are read; else each row's file name is searched for it.
+
     ``on_bad_line`` says what a line does that doesn't fit: ``"fail"`` ends the load with the line and its
     file, ``"skip"`` leaves it to ``rejected_lines``.  A file without a day in its name always ends the load:
     its rows would have no date.
@@ -73,8 +75,9 @@ def checked(rows: DataFrame, columns: list[str], on_bad_line: str = "fail") -> D
     if on_bad_line == "skip":
         rows = rows.where(bad.isNull())
     undated = F.raise_error(F.concat(F.lit("no day in the file name "), where)).cast("date")
+    found = F.coalesce(file_day(), undated) if named is None else F.lit(named)
     unfit = F.raise_error(F.concat(F.lit("line doesn't fit its layout in "), where, F.lit(": "), bad)).cast("date")
-    day = F.when(bad.isNotNull(), unfit).otherwise(F.coalesce(file_day(), undated))
+    day = F.when(bad.isNotNull(), unfit).otherwise(found)
     return rows.select(*columns, day.alias("FileDay")).where(F.col("FileDay").isNotNull())
 
 
@@ -100,7 +103,7 @@ def read_feed(
 ) -> DataFrame:
     """One clinic's files of one kind, plus ``FileDay`` taken from each file's name."""
     rows = parsed_feed(spark, folder, clinic, kind, day, schema)
-    return checked(rows, (schema or FEED_SCHEMAS[(clinic, kind)]).names, on_bad_line)
+    return checked(rows, (schema or FEED_SCHEMAS[(clinic, kind)]).names, on_bad_line, day)
 
 
 def rejected_lines(
@@ -152,10 +155,14 @@ def delivered_files(spark: SparkSession, folder: str, kind: str, day: date | Non
 
     def of(clinic: str) -> DataFrame:
         header = ",".join(FEED_SCHEMAS[(clinic, kind)].names)
-        lines = spark.read.text(feed_path(folder, clinic, kind, day))
-        name = F.regexp_extract("_metadata.file_path", r"([^/]*" + kind + r"\.csv)", 1)
-        rows = lines.select(name.alias("File"), "value").where(F.ltrim(F.col("value"), F.lit("\ufeff")) != header)
-        return rows.groupBy("File").agg(F.count("*").alias("Lines"), row_digest(["value"]).alias("Digest")).select(
+        lines = spark.read.text(feed_path(folder, clinic, kind, day)).select(F.col("_metadata.file_path").alias("_path"), "value")
+        line = F.col("value")
+        # Few lines begin with the mark, so few are trimmed.
+        is_header = (line == header) | (line.startswith("\ufeff") & (F.ltrim(line, F.lit("\ufeff")) == header))
+        # Paths are counted first: a name is searched for once a file, not once a line.
+        paths = lines.where(~is_header).groupBy("_path").agg(F.count("*").alias("n"), row_digest(["value"]).alias("d"))
+        name = F.regexp_extract("_path", r"([^/]*" + kind + r"\.csv)", 1)
+        return paths.groupBy(name.alias("File")).agg(F.sum("n").alias("Lines"), F.sum("d").cast("decimal(38,0)").alias("Digest")).select(
             F.lit(clinic).alias("Clinic"), F.lit(kind).alias("Kind"), "File", "Lines", "Digest"
         )
 

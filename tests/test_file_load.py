@@ -15,7 +15,7 @@ from starward.plans.file_load import (
     visits_in_order,
 )
 from starward.schemas import OPERATIONAL
-from starward.sources.feeds import conform_feed, read_feed, read_feed_by_header, read_feeds, rejected_lines
+from starward.sources.feeds import conform_feed, delivered_files, read_feed, read_feed_by_header, read_feeds, rejected_lines
 from starward.sources.tables import jdbc_options
 
 
@@ -191,3 +191,29 @@ def test_a_feed_reads_the_folders_of_its_days_only(spark, tmp_path):
     assert [(p.part, p.rows) for p in table.parts()] == [("2010-01-02", 154), ("2010-01-03", 154)]
     assert all("VisitDay=2010-01-03" in f for f in table.read([date(2010, 1, 3), None]).inputFiles())
     assert table.high_water == 308 and into.visits(spark).select("ID").distinct().count() == 308
+
+
+def test_names_are_searched_once_a_file(spark, folder):
+    """Not for each line: a day's load knows its day, and lines are counted by path before the name is cut out."""
+    plan = read_feed(spark, folder, "Redmond", "Visits", files.DAY)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan and read_feed(spark, folder, "Redmond", "Visits", files.DAY).first().FileDay == files.DAY
+    plan = delivered_files(spark, folder, "Visits")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [_path#") == 3
+
+
+def test_a_file_in_parts_is_one_file(spark, tmp_path):
+    """Header lines with and without a mark are left out in every part, and no other line is."""
+    for clinic in files.COUNTS:
+        at = tmp_path / clinic / "20100102Visits.csv"
+        files.write(at / "part-0.csv", files.VISIT_HEADS[clinic], list(files.visit_lines(clinic, 3)))
+        (at / "part-1.csv").write_text("\n".join([files.VISIT_HEADS[clinic], "\ufeffother"]))
+    found = {r.Clinic: (r.File, r.Lines) for r in delivered_files(spark, str(tmp_path), "Visits").collect()}
+    assert found == {clinic: ("20100102Visits.csv", 4) for clinic in files.COUNTS}
+
+
+def test_a_load_that_adds_nothing_numbers_nothing(spark, folder, tmp_path, monkeypatch):
+    into = Operational(str(tmp_path / "op"))
+    first = load_daily_files(spark, folder, into, files.DAY)
+    assert first["visits"] > 0 and first["patients"] > 0
+    monkeypatch.setattr("starward.plans.file_load.assign_keys", lambda *_, **__: pytest.fail("numbered"))
+    assert load_daily_files(spark, folder, into, files.DAY) == {"patients": 0, "visits": 0}

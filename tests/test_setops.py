@@ -50,6 +50,25 @@ def test_except_loaded_reads_the_history_without_shuffling_it(spark, tmp_path):
     assert rows(result) == [(-1, "n")]
 
 
+def test_except_loaded_from_distinct_rows_shuffles_each_side_once(spark, tmp_path):
+    """A feed too large for a broadcast: what was seen isn't shuffled again; NULLs are equal, and copies in the history do no harm."""
+    feed = [(i, None if i % 3 else f"v{i}") for i in range(300)]
+    spark.createDataFrame([*feed[100:], feed[150]], "id bigint, s string").write.parquet(str(tmp_path / "history"))
+    spark.createDataFrame(feed, "id bigint, s string").write.parquet(str(tmp_path / "feed"))
+    history, new = spark.read.parquet(str(tmp_path / "history")), spark.read.parquet(str(tmp_path / "feed"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = except_loaded(new, history, distinct=True, loaded_distinct=True)
+        found = rows(result)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = plan.split("Initial Plan")[0]
+    assert sorted(found, key=repr) == sorted(feed[:100], key=repr)
+    assert final.count("SortMergeJoin") == 2 and "HashAggregate" not in final
+    assert final.count("Exchange hashpartitioning") - final.count("ReusedExchange") <= 3 and final.count("ReusedExchange") >= 1
+
+
 def test_change_set_has_both_sides(spark):
     src = spark.createDataFrame([(1, "x"), (2, "new"), (3, None), (3, None)], AB)
     tgt = spark.createDataFrame([(1, "x"), (2, "old"), (3, None), (4, "gone")], AB)
