@@ -165,8 +165,13 @@ def merge_facts(
     counted; a month's new rows are its old ones less what goes and plus what comes.  Without changes there is no new version.
 
     A row with a NULL, which matches nothing, is deleted and inserted again only where its month differs in something.
+
+    A table without a commit has nothing to be held against: the source goes into its months as it is read.
     """
     by = table.by.name
+    if table.version == 0:
+        written = table.commit(source.select(*columns, by), check=check)
+        return {"inserted": sum(p.rows for p in written), "deleted": 0}
     arrived = staged(source.select(*columns, by), "fact-source")
     theirs = digests(arrived, by, table.schema)
     ours: dict[str, tuple] = {}
@@ -175,7 +180,7 @@ def merge_facts(
         ours[p.part] = (n + p.rows, d + p.digest)
     differing = sorted(p for p in theirs.keys() | ours.keys() if theirs.get(p) != ours.get(p))
     nothing = {"inserted": 0, "deleted": 0}
-    if not differing and table.version:
+    if not differing:
         return nothing
     fact = table.read(differing, stored=True)
     part_of_row = F.col(by).cast("string")
@@ -183,7 +188,7 @@ def merge_facts(
     both = [*columns, by]
     changes = staged(fact_merge(fact, some, both, unique).changes, "fact-changes")
     counts = change_counts(changes)
-    if any(counts.values()) or table.version == 0:
+    if any(counts.values()):
         table.commit(applied(fact, changes, both, unique), replace=differing, check=check)
     return counts
 

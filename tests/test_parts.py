@@ -127,6 +127,19 @@ def test_only_months_that_differ_are_merged_and_written(spark, tmp_path):
     assert t.version == 2
 
 
+def test_a_first_fill_is_not_merged(spark, tmp_path, monkeypatch):
+    """Nothing to compare with: rows, copies and NULLs go into their months without a merge or a copy."""
+    t, some = table(spark, tmp_path), [(1, "a", 1), (1, "a", 1), (2, None, 2), (None, "c", None)]
+    with monkeypatch.context() as m:
+        m.setattr("starward.plans.warehouse_load.staged", lambda *_: pytest.fail("written twice"))
+        m.setattr("starward.plans.warehouse_load.fact_merge", lambda *_: pytest.fail("merged"))
+        assert merge_facts(t, frame(spark, some), SCHEMA.names) == {"inserted": 4, "deleted": 0}
+    assert rows(t.read()) == sorted(((i, v) for i, v, _ in some), key=repr)
+    assert merge_facts(t, frame(spark, some), SCHEMA.names) == {"inserted": 0, "deleted": 0} and t.version == 1
+    empty = table(spark, tmp_path / "empty")
+    assert merge_facts(empty, frame(spark, []), SCHEMA.names) == {"inserted": 0, "deleted": 0} and empty.version == 1
+
+
 def test_retired_versions_leave_what_is_named(spark, tmp_path):
     t = table(spark, tmp_path)
     for k in range(4):
