@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starward.operators.copies import expand_copies
@@ -14,6 +14,7 @@ from starward.operators.matching import all_equal
 from starward.operators.setops import under_collation
 
 _SRC, _TGT, _STATE, _INS, _DEL = "_src", "_tgt", "_state", "_ins", "_del"
+_SLOT, _COPIES = "_slot", "_copies"
 
 
 @dataclass(frozen=True)
@@ -46,6 +47,30 @@ class FactMerge:
         return self.counts.where((F.col(_INS) > 0) | (F.col(_DEL) > 0)).select(*self.columns, _INS, _DEL)
 
 
+def merged_in_parts(
+    fact: DataFrame, source: DataFrame, columns: Sequence[str], part: str, keys: Sequence[str], slots: int = 1
+) -> tuple[DataFrame, Observation, Observation]:
+    """The table after the merge, laid out by ``part``; what came and went; and how many rows share their ``keys``.
+
+    As ``fact_merge`` for rows that hardly ever occur twice, but one shuffle does for all: rows meet by ``part`` and a slot of the first
+    key, of which each part has ``slots``, and are matched, searched for repeated ``keys`` and written where they are.  ``columns``
+    include ``part`` and ``keys``.  The observations are there once the frame has been written.
+    """
+    columns = list(columns)
+    moved, repeated = Observation(), Observation()
+    slot = F.pmod(F.xxhash64(keys[0]), F.lit(slots)).cast("int").alias(_SLOT)
+    tagged = source.select(*columns, slot, F.lit(1).alias(_SRC), F.lit(0).alias(_TGT)).unionByName(
+        fact.select(*columns, slot, F.lit(0).alias(_SRC), F.lit(1).alias(_TGT))
+    )
+    counted = _counts(tagged.repartition(part, _SLOT), [_SLOT, *columns], columns)
+    counted = counted.observe(moved, F.sum(_INS).alias("inserted"), F.sum(_DEL).alias("deleted"))
+    state = expand_copies(counted.select(_SLOT, *columns, _STATE), _STATE, spread=False)
+    alike = Window.partitionBy(part, _SLOT, *keys)
+    state = state.withColumn(_COPIES, F.count(F.lit(1)).over(alike))
+    state = state.observe(repeated, F.count_if(F.col(_COPIES) > 1).alias("n"))
+    return state.select(*columns), moved, repeated
+
+
 def applied(fact: DataFrame, changes: DataFrame, columns: Sequence[str], unique: bool = False) -> DataFrame:
     """``fact`` after written ``changes``: the rows that stay are read in place, without a shuffle if changes are few."""
     columns = list(columns)
@@ -80,17 +105,18 @@ def fact_merge(
     tagged = source.select(*columns, F.lit(1).alias(_SRC), F.lit(0).alias(_TGT)).unionByName(
         fact.select(*columns, F.lit(0).alias(_SRC), F.lit(1).alias(_TGT))
     )
-    sides = tagged.groupBy(*columns).agg(F.sum(_SRC).alias(_SRC), F.sum(_TGT).alias(_TGT))
-    has_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in columns))
+    return FactMerge(_counts(tagged, columns, columns), columns, unique)
+
+
+def _counts(tagged: DataFrame, groups: Sequence[str], compared: Sequence[str]) -> DataFrame:
+    """For each distinct row how often it stands after the merge, comes and goes."""
+    sides = tagged.groupBy(*groups).agg(F.sum(_SRC).alias(_SRC), F.sum(_TGT).alias(_TGT))
+    has_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in compared))
     matched = (F.col(_SRC) > 0) & (F.col(_TGT) > 0) & ~has_null
     zero = F.lit(0).cast("bigint")
-    return FactMerge(
-        sides.select(
-            *columns,
-            F.when(matched, F.col(_TGT)).otherwise(F.col(_SRC)).alias(_STATE),
-            F.when(matched, zero).otherwise(F.col(_SRC)).alias(_INS),
-            F.when(matched, zero).otherwise(F.col(_TGT)).alias(_DEL),
-        ),
-        columns,
-        unique,
+    return sides.select(
+        *groups,
+        F.when(matched, F.col(_TGT)).otherwise(F.col(_SRC)).alias(_STATE),
+        F.when(matched, zero).otherwise(F.col(_SRC)).alias(_INS),
+        F.when(matched, zero).otherwise(F.col(_TGT)).alias(_DEL),
     )

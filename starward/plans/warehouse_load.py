@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from contextlib import suppress
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial
+from math import ceil
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starward.operators.merge import applied, change_counts, fact_merge
-from starward.operators.quality import reference_violations, split_by_reference, warehouse_violations
+from starward.operators.merge import applied, change_counts, fact_merge, merged_in_parts
+from starward.operators.quality import UNIQUE, keys_rule, reference_violations, split_by_reference, warehouse_violations
 from starward.operators.sync import scd1_actions, scd1_changes_anything, scd1_sync
 from starward.plans import dimensions as D
 from starward.plans.facts import SHIFT_FACT, VISIT_FACT, fact_shifts_src, fact_visits_src
 from starward.plans.together import results_of, together
 from starward.schemas import UNKNOWN_DOCTOR, WAREHOUSE
+from starward.session import hashed_joins
 from starward.sources.generated import date_spine
 from starward.sources.history import HistoryTable
 from starward.sources.ledger import LossLedger, append_counts, read_counts
@@ -35,6 +38,8 @@ STAGED = ("clinics", "doctors", "doctor_shifts", "shifts", "patients", "procedur
 
 #: Facts are stored by the month of their day.
 MONTH = T.StructField("MonthID", T.IntegerType())
+#: A month's rows are merged and written by one task for each so many of them.
+SLOT_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -93,21 +98,23 @@ class Violation(ValueError):
 
 def guard(
     name: str, on_violation: str, told: dict[str, str], dimensions: Callable[[], Mapping[str, DataFrame]] | None = None
-) -> Callable[[DataFrame], None]:
+) -> Callable[..., None]:
     """A check for a commit: ``"block"`` raises, ``"report"`` leaves the text in ``told``.
 
     With ``dimensions`` the references of a fact are checked too.  Only what was written is checked: a key of a fact holds its day, so
-    it can repeat within its month only.
+    it can repeat within its month only.  Who has counted the rows that share their key already passes the number as ``repeated``.
     """
 
-    def check(written: DataFrame) -> None:
-        rules = warehouse_violations(name, written)
+    def check(written: DataFrame, repeated: int | None = None) -> None:
+        rules = warehouse_violations(name, written, keys=repeated is None)
         if dimensions is not None:
             rules = rules.unionByName(reference_violations(name, written, dimensions()))
-        found = rules.collect()  # a row a rule
+        found = {r["rule"]: r["rows"] for r in rules.collect()}  # a row a rule
+        if repeated:
+            found[keys_rule(name)] = repeated
         if not found:
             return
-        text = "; ".join(sorted(f"{r['rule']}: {r['rows']} rows" for r in found))
+        text = "; ".join(sorted(f"{rule}: {n} rows" for rule, n in found.items()))
         if on_violation != "report":
             raise Violation(f"{name} not committed, {text}")
         told[name] = text
@@ -156,7 +163,8 @@ def merge_facts(
     source: DataFrame,
     columns: list[str],
     unique: bool = False,
-    check: Callable[[DataFrame], None] | None = None,
+    check: Callable[..., None] | None = None,
+    keys: Sequence[str] = (),
 ) -> dict[str, int]:
     """Merge, and commit the months that changed; returns the rows inserted and deleted.
 
@@ -166,6 +174,9 @@ def merge_facts(
 
     A row with a NULL, which matches nothing, is deleted and inserted again only where its month differs in something.
 
+    With the ``keys`` of rows that hardly ever occur twice, the same shuffle also gives the months' new rows and how many
+    of them share their keys, which ``check`` gets as ``repeated``; nothing is written in between.
+
     A table without a commit has nothing to be held against: the source goes into its months as it is read.
     """
     by = table.by.name
@@ -186,6 +197,9 @@ def merge_facts(
     part_of_row = F.col(by).cast("string")
     some = arrived.where(part_of_row.isin(differing) | part_of_row.isNull())
     both = [*columns, by]
+    if unique and keys:
+        slots = ceil(max(n for n, _ in [*theirs.values(), *ours.values()]) / SLOT_ROWS)
+        return _merge_in_parts(table, fact, some, both, keys, slots, differing, check)
     changes = staged(fact_merge(fact, some, both, unique).changes, "fact-changes")
     counts = change_counts(changes)
     if any(counts.values()):
@@ -193,6 +207,33 @@ def merge_facts(
     return counts
 
 
+class _Unchanged(Exception):
+    """Nothing came or went, so what was written isn't made current."""
+
+
+def _merge_in_parts(
+    table: PartTable,
+    fact: DataFrame,
+    source: DataFrame,
+    columns: list[str],
+    keys: Sequence[str],
+    slots: int,
+    replace: list[str],
+    check: Callable[..., None] | None,
+) -> dict[str, int]:
+    state, moved, repeated = merged_in_parts(fact, source, columns, table.by.name, keys, slots)
+
+    def check_changed(written: DataFrame) -> None:
+        if not any(moved.get.values()):
+            raise _Unchanged
+        if check is not None:
+            check(written, repeated=repeated.get["n"])
+
+    with suppress(_Unchanged):
+        table.commit(state, replace=replace, check=check_changed, rebalance=False)
+    return {name: n or 0 for name, n in moved.get.items()}
+
+
 def load_warehouse(
     warehouse: Warehouse,
     sources: Mapping[str, DataFrame],
@@ -271,7 +312,7 @@ def load_warehouse(
             source, rejected = split_by_reference(name, staged(source, "fact-source"), dimensions())
             rejected = staged(rejected.select(*WAREHOUSE[name].names, "reason"), "rejected")
             append_rows(rejected, f"{w.root}/rejects/{name}")
-        counts = merge_facts(table, source, columns, unique=unique, check=checks[name])
+        counts = merge_facts(table, source, columns, unique=unique, check=checks[name], keys=UNIQUE[name])
         steps = {"before": before, "added": counts["inserted"], "gone": counts["deleted"], "after": table.read().count()}
         steps |= {"read": ledger.counts()["read"], **{f"dropped by {d}": n for d, n in ledger.losses().items()}}
         if rejected is not None:
@@ -309,7 +350,8 @@ def load_warehouse(
         now,
         told,
     )
-    _run_and_log(w, {"fact_doctor_shifts": doctor_shifts, "fact_visits": visits}, now, told)
+    with hashed_joins(spark):
+        _run_and_log(w, {"fact_doctor_shifts": doctor_shifts, "fact_visits": visits}, now, told)
     append_counts(spark, w.counts_path, [row for name in sorted(counted) for row in counted[name]], now)
 
 

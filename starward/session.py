@@ -6,6 +6,8 @@ and let adaptive execution size partitions and split hot join keys at run time.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
 
 from pyspark.sql import SparkSession
@@ -37,6 +39,9 @@ INPUT_PER_PARTITION = 8 * MB
 #: Beyond this many, map tasks report average block sizes only, and adaptive execution is blind.
 MAX_FIRST_PARTITIONS = 2_000
 FIRST_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+#: A join that is shuffled needs no sort if no partition of its smaller side is larger, as shuffled; adaptive execution looks at each join.
+HASHED_SIDE_BYTES = 16 * MB
+_HASHED_SIDE = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
 
 
 def first_partitions(input_bytes: int, least: int) -> int:
@@ -53,6 +58,17 @@ def tune(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
     return spark
 
 
+@contextmanager
+def hashed_joins(spark: SparkSession) -> Iterator[None]:
+    """Within it, joins of a large table with one whose partitions are all small when shuffled are hashed instead of sorted."""
+    before = spark.conf.get(_HASHED_SIDE)
+    spark.conf.set(_HASHED_SIDE, str(HASHED_SIDE_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_HASHED_SIDE, before)
+
+
 def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
     """Partitions of about 256 MB: at least one per core, at most ``MAX_PARTITIONS``.
 

@@ -1,5 +1,6 @@
 """Commits that write only the parts that change."""
 
+from contextlib import nullcontext
 from datetime import date
 
 import pytest
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starward.plans.warehouse_load import merge_facts
+from starward.session import hashed_joins
 from starward.sources.parts import PartTable, RepeatedKey, digests
+from starward.sources.scratch import staged
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.StringType())])
 MONTH = T.StructField("month", T.IntegerType())
@@ -140,6 +143,57 @@ def test_a_first_fill_is_not_merged(spark, tmp_path, monkeypatch):
     assert merge_facts(empty, frame(spark, []), SCHEMA.names) == {"inserted": 0, "deleted": 0} and empty.version == 1
 
 
+def test_rows_with_keys_are_merged_searched_and_written_in_one_shuffle(spark, tmp_path, monkeypatch):
+    """The same table and numbers as the merge by written changes; nothing but the source is written in between."""
+    first = [(i, f"v{i}", 1 + i % 3) for i in range(30)] + [(90, None, 1), (None, "n", 2)]
+    now = [(i, "new" if i in (4, 8) else v, m) for i, v, m in first if i != 5] + [(31, "a", 2), (6, "twice", 1), (None, "n", 2)]
+    by_changes, by_keys = table(spark, tmp_path / "a"), table(spark, tmp_path / "b")
+    for t in (by_changes, by_keys):
+        merge_facts(t, frame(spark, first), SCHEMA.names, unique=True)
+    expected = merge_facts(by_changes, frame(spark, now), SCHEMA.names, unique=True)
+    written, told = [], []
+    monkeypatch.setattr("starward.plans.warehouse_load.staged", lambda df, label: written.append(label) or staged(df, label))
+    monkeypatch.setattr("starward.plans.warehouse_load.SLOT_ROWS", 4)
+
+    def check(rows, repeated):
+        told.append((rows.count(), repeated))
+
+    assert merge_facts(by_keys, frame(spark, now), SCHEMA.names, unique=True, check=check, keys=["id"]) == expected
+    assert written == ["fact-source"] and told == [(34, 4)]  # 6 stands twice in its month, and so does the missing key
+    assert rows(by_keys.read(stored=True)) == rows(by_changes.read(stored=True)) == sorted(now, key=repr)
+    assert [(p.part, p.rows, p.digest) for p in by_keys.parts()] == [(p.part, p.rows, p.digest) for p in by_changes.parts()]
+
+
+def test_a_merge_by_keys_without_changes_commits_nothing(spark, tmp_path):
+    t = table(spark, tmp_path)
+    merge_facts(t, frame(spark, [(1, "a", 1), (1, "a", 1), (2, "b", 2)]), SCHEMA.names)
+    # One copy matches both, so the months differ and the rows don't.
+    assert merge_facts(t, frame(spark, [(1, "a", 1), (2, "b", 2)]), SCHEMA.names, unique=True, keys=["id"]) == {"inserted": 0, "deleted": 0}
+    assert t.version == 1 and t.rows() == 3
+    assert merge_facts(t, frame(spark, []), SCHEMA.names, unique=True, keys=["id"]) == {"inserted": 0, "deleted": 3}
+    assert t.version == 2 and t.rows() == 0
+
+
+def test_large_joins_of_a_load_are_hashed(spark, tmp_path):
+    """Neither side may be broadcast; within ``hashed_joins`` none is sorted, and the setting goes again."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+    before = spark.conf.get(setting)
+    try:
+        plans = []
+        for hashed in (False, True):
+            joined = spark.range(2000).withColumn("v", F.col("id") % 7).join(spark.range(0, 3000, 2), "id")
+            with hashed_joins(spark) if hashed else nullcontext():
+                assert joined.count() == 1000
+                joined.write.mode("overwrite").parquet(str(tmp_path / "out"))
+                assert joined.collect()
+                plans.append(joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plans[0] and "ShuffledHashJoin" in plans[1] and "SortMergeJoin" not in plans[1]
+    assert spark.conf.get(setting) == before
+
+
 def test_retired_versions_leave_what_is_named(spark, tmp_path):
     t = table(spark, tmp_path)
     for k in range(4):
